@@ -9,6 +9,7 @@ from touchline.operators.attribution import SOURCE_BLOCK, SOURCE_FILE, SOURCE_RO
 from touchline.operators.normalize import normalize_columns, normalize_hits, require_hit_columns
 
 FORMATS = ("parquet", "tsv", "auto")
+TEXT_FILES = "*.{tsv,tab,txt,csv}*"
 
 
 def scan_path(base: str, dt=None, hour=None, minute=None, interval=None) -> str:
@@ -72,7 +73,7 @@ def mixed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     return _unite(
         [
             normalize_columns(parquet_rows(spark, path)),
-            normalize_columns(tsv_rows(spark, path, multiline=multiline, glob="*.{tsv,tab,txt}")),
+            normalize_columns(tsv_rows(spark, path, multiline=multiline, glob=TEXT_FILES)),
         ]
     )
 

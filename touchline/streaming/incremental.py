@@ -9,6 +9,7 @@ from touchline.sinks.files import write_object_curated
 from touchline.sources.landing import read_objects
 
 MAX_FILES_PER_TRIGGER = 200
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_files(
@@ -19,8 +20,9 @@ def stream_files(
     Paths rather than rows, because one stream has one schema and landed files may differ.
     """
     return (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files).load(src).select("path")
+        spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+        .load(src).select("path")
     )
 
 
