@@ -10,21 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.fixed_values import ENGINE_PARAMS
-from touchline.functions.text import strip
+from touchline.functions.text import WHITESPACE_CLASS, strip
 
 _NAMES = "|".join(ENGINE_PARAMS)
 _SLOTS = range(max(map(len, ENGINE_PARAMS.values())))
 
 # Authority, without user info and port; brackets are for IPv6 addresses only.
 _HOST = (
-    r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?\[?"
+    rf"^{WHITESPACE_CLASS}*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?\[?"
     r"((?<=\[)[0-9A-Fa-f:.]+(?=\])"
     r"|(?<!\[)[^:\[\]/?#@]*(?=(?::[^\[\]/?#@]*)?(?:[/?#]|\z)))"
 )
 _QUERY = r"^[^?#]*\?([^#]*)"
 
-# An engine name in the authority and a filled parameter: all that can be a search.
-_SEARCH_LIKE = rf"(?is)^[^/?#]*//[^/?#]*(?:{_NAMES})[^?#]*\?[^#]*=[^&#]"
+# An engine name in the authority and a filled parameter: all that can be a search. A URL
+# with characters that clean_url removes passes too, so that it need not be cleaned first.
+_SEARCH_LIKE = rf"(?is)^[^/?#]*//[^/?#]*(?:{_NAMES})[^?#]*\?[^#]*=[^&#]|[\t\r\n]"
 
 # The alternatives are tried in order, so the first listed engine wins, wherever it stands.
 _ENGINE = "(?s)^(?:" + "|".join(f".*?(?={n})" for n in ENGINE_PARAMS) + f")({_NAMES})"
@@ -32,12 +33,18 @@ _ENGINE = "(?s)^(?:" + "|".join(f".*?(?={n})" for n in ENGINE_PARAMS) + f")({_NA
 
 def clean_url(c: Column) -> Column:
     """Trimmed, and without the tabs and line breaks a URL may not hold."""
-    return F.translate(strip(c), "\t\r\n", "")
+    return _unbroken(strip(c))
+
+
+def _unbroken(c: Column) -> Column:
+    for character in "\t\r\n":
+        c = F.replace(c, F.lit(character), F.lit(""))
+    return c
 
 
 def is_search_like(url: Column) -> Column:
     """False only for URLs that cannot be a search with a keyword; a cheap first filter."""
-    return clean_url(url).rlike(_SEARCH_LIKE)
+    return url.rlike(_SEARCH_LIKE)
 
 
 def _host(cleaned: Column) -> Column:
@@ -56,7 +63,8 @@ def url_query(url: Column) -> Column:
 
 def url_unescape(c: Column) -> Column:
     """Percent-decode, '+' to blank; a '%' that starts no escape stays as it is."""
-    return F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+    decoded = F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+    return F.when(c.contains("%") | c.contains("+"), decoded).otherwise(c)
 
 
 def query_pairs(url: Column) -> Column:
@@ -109,14 +117,21 @@ def _slot_regex(slot: int) -> str:
     return f"(?s)^(?:{'|'.join(choices)})=([^&]+)"
 
 
-def _keyword(engine: Column, query: Column, slot: int) -> Column:
-    raw = F.regexp_extract(F.concat(engine, F.lit("?"), query), _slot_regex(slot), 1)
+def _raw_keyword(engine: Column, query: Column, slot: int) -> Column:
+    """Value as it stands in the URL, null for engines without that many parameters."""
+    engines = [name for name, params in ENGINE_PARAMS.items() if slot < len(params)]
+    value = F.regexp_extract(F.concat(engine, F.lit("?"), query), _slot_regex(slot), 1)
+    return F.when(engine.isin(engines), value)
+
+
+def _keyword(raw: Column) -> Column:
     return F.lower(strip(url_unescape(raw)))
 
 
 def search_keyword(engine: Column, query: Column) -> Column:
     """Keyword of a search URL: the first parameter whose first filled value is not blank."""
-    return F.coalesce(*(F.nullif(_keyword(engine, query, i), F.lit("")) for i in _SLOTS))
+    words = (_keyword(_raw_keyword(engine, query, slot)) for slot in _SLOTS)
+    return F.coalesce(*(F.nullif(word, F.lit("")) for word in words))
 
 
 def with_touch(df: DataFrame, referrer: str = "referrer", match: str = "substring") -> DataFrame:
@@ -128,11 +143,12 @@ def with_touch(df: DataFrame, referrer: str = "referrer", match: str = "substrin
     c = F.col
     words = [f"_word_{i}" for i in _SLOTS]
     return (
-        df.withColumn("_url", clean_url(c(referrer)))
-        .withColumn("_url", F.when(c("_url").rlike(_SEARCH_LIKE), c("_url")))
+        # Blanks around the URL do no harm below, so only breaks within it are removed.
+        df.withColumn("_url", F.when(is_search_like(c(referrer)), _unbroken(c(referrer))))
         .withColumns({"_host": _host(c("_url")), "_query": F.regexp_extract("_url", _QUERY, 1)})
         .withColumn("_engine", engine_of(c("_host"), match))
-        .withColumns({w: _keyword(c("_engine"), c("_query"), i) for i, w in enumerate(words)})
+        .withColumns({w: _raw_keyword(c("_engine"), c("_query"), i) for i, w in enumerate(words)})
+        .withColumns({w: _keyword(c(w)) for w in words})
         .withColumn("_word", F.coalesce(*(F.nullif(c(w), F.lit("")) for w in words)))
         .withColumn(
             "touch",

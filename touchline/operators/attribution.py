@@ -111,7 +111,7 @@ def attributed_purchases(
     products = F.col("product_list")
     sale = has_event(F.col("event_list")) & has_products(products)
     candidates = (
-        with_touch(visitors.where(is_search_like(F.col("referrer")) | sale), match=match)
+        with_touch(visitors.where(sale | is_search_like(F.col("referrer"))), match=match)
         .withColumn("revenue", F.when(sale, product_revenue(products)))
         .select(*carried, "touch", "revenue")
     )
