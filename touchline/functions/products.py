@@ -23,8 +23,8 @@ def event_array(events: Column) -> Column:
 
 
 def has_event(events: Column, event: str = PURCHASE_EVENT) -> Column:
-    """True if the list holds the item; one regular expression keeps this in generated code."""
-    return events.rlike(
+    """True if the list holds the item; a regular expression keeps this in generated code."""
+    return events.contains(event) & events.rlike(
         rf"(?:^|,){WHITESPACE_CLASS}*{re.escape(event)}{WHITESPACE_CLASS}*(?:,|\z)"
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.privacy import mask_ip, mask_user_agent
-from touchline.functions.products import has_event, has_products, product_revenue
+from touchline.functions.products import has_event, product_revenue
 from touchline.functions.text import strip
 from touchline.functions.url import is_search_like, with_touch
 from touchline.operators.carry import HOT_ROWS, carry_forward, hot_keys
@@ -108,13 +108,15 @@ def attributed_purchases(
     keys, ties = _keys(scope), _ties(hits, tie)
     visitors = with_visitor(hits, identity, keep_empty_ip)
     carried = list(dict.fromkeys([*keys, "hit_ts", *ties, *(keep or [])]))
-    products = F.col("product_list")
-    sale = has_event(F.col("event_list")) & has_products(products)
-    candidates = (
-        with_touch(visitors.where(sale | is_search_like(F.col("referrer"))), match=match)
-        .withColumn("revenue", F.when(sale, product_revenue(products)))
-        .select(*carried, "touch", "revenue")
+    # An empty product list has no revenue, so it needs no test of its own.
+    sale = has_event(F.col("event_list"))
+    # Revenue first: its array functions end a span of generated code, and one span for the
+    # filter and all of the URL steps would be too long for the JVM to compile.
+    priced = visitors.where(sale | is_search_like(F.col("referrer"))).select(
+        *carried, "referrer",
+        F.when(sale, product_revenue(F.col("product_list"))).alias("revenue"),
     )
+    candidates = with_touch(priced, match=match).drop("referrer")
     last = carry_forward(
         candidates, keys, ["hit_ts", *ties], value="touch", out="last_touch",
         hot=hot_keys(visitors, keys, hot_rows), partitions=visitor_partitions,
