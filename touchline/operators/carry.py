@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.session import settle
+
 HOT_ROWS = 1_000_000
 SECONDS_PER_SLICE = 3600
 POSITIONS_PER_SLICE = 1 << 20
@@ -45,14 +47,17 @@ def _position_run(df: DataFrame, ties: list[str]) -> Column:
 
 
 def _carried_in(hot: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Per slice of the hot keys: the last value of the key before the slice."""
+    """Per slice of the hot keys: the last value of the key before the slice.
+
+    The slices' own last values are written once, as all levels start from them.
+    """
     levels = [_HOUR, _SECOND, _RUN]
 
     def last_of(df, by, source, position):
         at = F.when(F.col(source).isNotNull(), position)
         return df.groupBy(*by).agg(F.max_by(source, at).alias("_last"))
 
-    runs = last_of(hot, keys + levels, value, F.struct(*order))
+    runs = settle(last_of(hot, keys + levels, value, F.struct(*order)))
     seconds = last_of(runs, keys + levels[:2], "_last", F.col(_RUN))
     hours = last_of(seconds, keys + levels[:1], "_last", F.col(_SECOND))
 
