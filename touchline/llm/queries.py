@@ -13,7 +13,7 @@ from touchline.session import settle, shared_folder
 ARROW_ROWS = 2_000
 
 
-def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
+def read_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
     # Workers import this package from where the driver does, unless told otherwise.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -21,30 +21,30 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _read(spark, sf, "documents")
-    return pu_toxicity.score_toxicity(documents, pu_toxicity.train(documents, _read(spark, sf, "labels")))
+    documents = read_table(spark, sf, "documents")
+    return pu_toxicity.score_toxicity(documents, pu_toxicity.train(documents, read_table(spark, sf, "labels")))
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return content_sort.duplicate_groups(_read(spark, sf, "documents"))
+    return content_sort.duplicate_groups(read_table(spark, sf, "documents"))
 
 
 def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return license_scan.scan_licenses(_read(spark, sf, "documents")).drop("spans")
+    return license_scan.scan_licenses(read_table(spark, sf, "documents")).drop("spans")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = packing.cut_pieces(_read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.cut_pieces(read_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack_pieces(settle(pieces))
 
 
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return decontaminate.find_contamination(_read(spark, sf, "documents"), _read(spark, sf, "benchmark")).drop("spans")
+    return decontaminate.find_contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")).drop("spans")
 
 
 def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
-    token_orc.write_token_orc(_read(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    token_orc.write_token_orc(read_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_orc.token_digest(spark, path)
 
 
