@@ -68,7 +68,8 @@ def _runs(documents: DataFrame, group_rows: int, carried: list[str]) -> DataFram
     return runs.join(groups, F.col("split") & (F.col("text_sha256") == F.col("sha")), "left")
 
 
-_KEPT = (F.col("place") == 1) & (~F.col("split") | F.col("held.id").eqNullSafe(F.col("group_keep")))
+def _stays():
+    return (F.col("place") == 1) & (~F.col("split") | F.col("held.id").eqNullSafe(F.col("group_keep")))
 
 
 def duplicate_groups(documents: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -77,7 +78,7 @@ def duplicate_groups(documents: DataFrame, group_rows: int = GROUP_ROWS) -> Data
         F.col("held.id").alias("doc_id"),
         F.when(F.col("split"), F.col("group_keep")).otherwise(F.col("run_keep")).alias("keep_id"),
         F.when(F.col("split"), F.col("group_rows")).otherwise(F.col("run_rows")).alias("group_size"),
-        _KEPT.alias("kept"),
+        _stays().alias("kept"),
         "text_sha256",
     )
 
@@ -85,5 +86,5 @@ def duplicate_groups(documents: DataFrame, group_rows: int = GROUP_ROWS) -> Data
 def drop_duplicates(documents: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row of each text, with all columns."""
     carried = [c for c in documents.columns if c.lower() != "text"]
-    runs = _runs(documents, group_rows, carried).filter(_KEPT)
+    runs = _runs(documents, group_rows, carried).filter(_stays())
     return runs.select(*[F.col("body" if c.lower() == "text" else f"held.c{carried.index(c)}").alias(c) for c in documents.columns])
