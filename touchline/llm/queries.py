@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import content_sort, decontaminate, license_scan, packing, pu_toxicity, token_orc
+from touchline.llm import content_sort, decontaminate, html_tree, license_scan, ngram_join, packing, pu_toxicity, rule_quality, token_orc
 from touchline.session import settle, shared_folder
 
 #: Rows that Spark hands to Python at a time.
@@ -20,6 +20,15 @@ def read_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.join_near_copies(read_table(spark, sf, "documents"))
+
+
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    documents = read_table(spark, sf, "documents")
+    return rule_quality.score_quality(documents, rule_quality.train(documents, read_table(spark, sf, "labels")))
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     documents = read_table(spark, sf, "documents")
     return pu_toxicity.score_toxicity(documents, pu_toxicity.train(documents, read_table(spark, sf, "labels")))
@@ -38,6 +47,11 @@ def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_pieces(settle(pieces))
 
 
+def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "pages")
+    return html_tree.extract_text(pages, html_tree.train(pages))
+
+
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")).drop("spans")
 
@@ -49,10 +63,13 @@ def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_html_text": op7_html_text,
     "op9_decontamination": op9_decontamination,
     "op10_token_orc": op10_token_orc,
 }
