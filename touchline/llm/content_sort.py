@@ -18,6 +18,8 @@ none), one that is not named further. A null doc_id is smaller than any other.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import settle
+
 #: The letters whose case is ignored.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GROUP_ROWS = 1_000
 
 
+#: Hashes of such groups that are broadcast at most; more are joined by shuffling.
+BROADCAST_HASHES = 1_000_000
 #: Characters that the range partitioning compares before it turns to the hash.
 PREFIX = 64
 
@@ -44,7 +48,9 @@ def _runs(documents: DataFrame, group_rows: int, carried: list[str]) -> DataFram
     # Equal texts have equal hashes; that others may share one does no harm.
     rows = rows.withColumn("content_hash", F.xxhash64(F.lower(F.coalesce("body", F.lit("")))))
     hot = rows.groupBy("content_hash").agg(F.count("*").alias("hash_rows")).filter(F.col("hash_rows") > group_rows)
-    hot = hot.select("content_hash", "hash_rows", F.ceil(F.col("hash_rows") / group_rows).alias("slices"))
+    hot = settle(hot.select("content_hash", F.ceil(F.col("hash_rows") / group_rows).alias("slices")))
+    if hot.count() <= BROADCAST_HASHES:
+        hot = F.broadcast(hot)
     sha = F.sha2(F.encode(normalised(F.col("body")), "UTF-8"), 256)
     split = rows.join(hot.select("content_hash"), "content_hash", "left_semi").select(F.col("held.id").alias("id"), sha.alias("sha"))
     groups = split.groupBy("sha").agg(F.max("id").alias("group_keep"), F.count("*").alias("group_rows"))
