@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import content_sort, decontaminate, html_tree, license_scan, ngram_join, packing, pu_toxicity, rule_quality, token_orc
+from touchline.llm import content_sort, decontaminate, fuzzy_lines, html_tree, license_scan, ngram_join, packing, pu_toxicity, rule_quality, token_orc
 from touchline.session import settle, shared_folder
 
 #: Rows that Spark hands to Python at a time.
@@ -52,6 +52,10 @@ def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_tree.extract_text(pages, html_tree.train(pages))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy_lines.line_decisions(read_table(spark, sf, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")).drop("spans")
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_html_text": op7_html_text,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_decontamination": op9_decontamination,
     "op10_token_orc": op10_token_orc,
 }
