@@ -2,7 +2,8 @@
 
 Two nodes may be linked only if some bucket holds both. Testing all pairs of a bucket would be
 quadratic in a group of copies, so each of STAR_ROUNDS rounds tests every member against one
-centre of its bucket, another one each round, and skips members that are connected to it already.
+centre of its bucket and skips members that are connected to it already. The first centre is the
+member with the largest weight, the next ones are any.
 Pairs that are still in different components after that are tested one by one; pairs within a
 component need no test, since they can't change it. No possible link between components is left
 out, so the components are those of all links.
@@ -40,40 +41,51 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def connect(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], compatible) -> DataFrame:
-    """Links enough to connect what all links connect: a, b.
+def connect(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], compatible, links: DataFrame | None = None, enough=None) -> DataFrame:
+    """node and root of all nodes in components, but roots; `links` are known beforehand.
 
-    postings: bucket, node, size; must give the same rows each time it is read. compatible(x, y):
-    a condition on two sizes. verify: of pairs a, b, a_size, b_size, those that are linked.
+    postings: bucket, node, size, weight (larger for nodes that are likely linked to many); must
+    give the same rows each time it is read. compatible(x, y): a condition on two sizes, which may
+    tell of the bucket, too; a link must meet it in one bucket at least. enough(n, x, y): what must
+    hold if n buckets are all that two linked nodes share, by the largest size of either. verify:
+    of pairs a, b, those that are linked.
     """
-    links = None
+    roots = None if links is None else components(links)
     for number in range(STAR_ROUNDS + 1):
-        if links is None:
+        if roots is None:
             members = postings.withColumn("root", F.col("node"))
         else:
-            roots = components(links)
             members = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             mixed = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket")
             members = members.join(mixed, "bucket")
         if number < STAR_ROUNDS:
-            chosen = F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "size", "root")
+            weight = -F.col("weight") if number == 0 else F.lit(0)
+            chosen = F.struct(weight.alias("w"), F.xxhash64("node", F.lit(number)).alias("h"), "node", "size", "root")
             others = members.groupBy("bucket").agg(F.min(chosen).alias("c")).select("bucket", "c.node", "c.size", "c.root")
         else:
             others = members
         others = others.select("bucket", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
         first = F.col("node") < F.col("other")
-        pairs = (
-            members.join(others, "bucket")
-            .filter((F.col("node") < F.col("other") if number == STAR_ROUNDS else F.col("node") != F.col("other")) & (F.col("root") != F.col("other_root")))
-            .filter(compatible(F.col("size"), F.col("other_size")))
-            .select(
+        joined = members.join(others, "bucket").filter(F.col("root") != F.col("other_root"))
+        if number < STAR_ROUNDS:
+            pairs = joined.filter(compatible(F.col("size"), F.col("other_size"))).select(
                 F.when(first, F.col("node")).otherwise(F.col("other")).alias("a"),
                 F.when(first, F.col("other")).otherwise(F.col("node")).alias("b"),
-                F.when(first, F.col("size")).otherwise(F.col("other_size")).alias("a_size"),
-                F.when(first, F.col("other_size")).otherwise(F.col("size")).alias("b_size"),
             )
-            .distinct()
-        )
+            pairs = pairs.distinct()
+        else:
+            # All buckets that a pair of different components shares are here, so they can be counted.
+            counted = joined.filter(first).groupBy(F.col("node").alias("a"), F.col("other").alias("b"))
+            pairs = counted.agg(
+                F.count("*").alias("shared"), F.bool_or(compatible(F.col("size"), F.col("other_size"))).alias("fits"),
+                F.max("size").alias("size"), F.max("other_size").alias("other_size"),
+            )
+            pairs = pairs.filter("fits")
+            if enough:
+                pairs = pairs.filter(enough(F.col("shared"), F.col("size"), F.col("other_size")))
+            pairs = pairs.select("a", "b")
         new = settle(verify(pairs).select("a", "b"))
-        links = new if links is None else links.unionByName(new)
-    return links
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            roots = components(links)
+    return components(links if links is not None else new) if roots is None else roots

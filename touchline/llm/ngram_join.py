@@ -9,7 +9,9 @@ order. Three steps, each over fragments of the hash range, cut so that every fra
    the nodes of each of its shingles, and sends back how many of a node's shingles nobody else has,
    and the others with their counts.
 2. A node's parts are put together. If the first places of its order go to shingles that nobody
-   else has, it is linked to nothing; most nodes end here. Else its first ones are its buckets.
+   else has, it is linked to nothing; most nodes end here. Else its first ones are its buckets. Two
+   nodes are a pair only if what follows a common bucket in both orders could make them similar,
+   and if they share so many buckets that the rest could.
 3. For pairs that share a bucket, each fragment counts their overlap separately; the partial
    counts are summed per pair and decide, exactly.
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.bytes_text import NONSPACE, find_words, mixed, shingle_sets, text_slices, word_hashes
-from touchline.llm.components import components, connect
+from touchline.llm.components import connect
 from touchline.session import settle
 
 WORDS = 4
@@ -170,7 +172,12 @@ def _counted(sent: DataFrame, n_low: int, parts: int) -> DataFrame:
 
 
 def _buckets(counted: DataFrame, similar: int) -> DataFrame:
-    """Step 2: bucket, node and size for nodes whose first shingles are held by others too."""
+    """Step 2: bucket, node, its number of shingles, how many of them come after its buckets, and
+    the bucket's place among them, for nodes whose first shingles are held by others too.
+
+    weight is how many buckets the node has. A text that others were made from by small changes
+    has the most, as each change puts shingles that nobody else has first.
+    """
 
     def order(key, table):
         nodes = _joined(table, "nodes", "<u8").reshape(-1, 2)
@@ -192,16 +199,22 @@ def _buckets(counted: DataFrame, similar: int) -> DataFrame:
             rows = rows[np.lexsort((shingles[rows], holders[rows], owner[rows]))]
             begin = np.flatnonzero(np.diff(owner[rows], prepend=-1))
             rank = np.arange(len(rows)) - np.repeat(begin, np.diff(np.append(begin, len(rows))))
-            rows = rows[rank < left[owner[rows]]]
-            found.append((mixed(shingles[rows] + np.uint64(kind)).view(np.int64), owner[rows]))
-        bucket, who = (np.concatenate(x) for x in zip(*found, strict=True))
+            first_ones = rank < left[owner[rows]]
+            rows, rank = rows[first_ones], rank[first_ones]
+            # Places in the node's order: what it has alone comes first.
+            place = rank + (firsts - left)[owner[rows]]
+            held = np.bincount(which[mine], (alone + counts)[mine], n).astype(np.int64)
+            rest = (sizes - np.minimum(firsts, held))[owner[rows]]
+            found.append((mixed(shingles[rows] + np.uint64(kind)).view(np.int64), owner[rows], place, rest))
+        bucket, who, place, rest = (np.concatenate(x) for x in zip(*found, strict=True))
+        weight = np.bincount(who, minlength=n)
         raw = nodes[first].tobytes()
         return pa.Table.from_arrays(
-            [pa.array(bucket), pa.array([raw[16 * i : 16 * i + 16] for i in who.tolist()], pa.binary()), pa.array(sizes[who])],
-            ["bucket", "node", "size"],
+            [pa.array(bucket), pa.array([raw[16 * i : 16 * i + 16] for i in who.tolist()], pa.binary()), pa.array(sizes[who]), pa.array(rest), pa.array(place), pa.array(weight[who])],
+            ["bucket", "node", "shingles", "rest", "place", "weight"],
         )
 
-    return counted.groupBy("part").applyInArrow(order, "bucket long, node binary, size long")
+    return counted.groupBy("part").applyInArrow(order, "bucket long, node binary, shingles long, rest long, place long, weight long")
 
 
 def _segments(documents: DataFrame, ids: DataFrame, n_words: int, similar: int) -> DataFrame:
@@ -214,13 +227,14 @@ def _segments(documents: DataFrame, ids: DataFrame, n_words: int, similar: int)
             for s, node in zip(sets, nodes, strict=True):
                 if node is not None:
                     cuts = np.searchsorted(s, (np.arange(1, PARTS) * (2**64 // PARTS)).astype(np.uint64))
-                    out += [(node, k, p.view(np.int64)) for k, p in enumerate(np.split(s, cuts)) if len(p)]
+                    out += [(node, k, len(s), p.view(np.int64)) for k, p in enumerate(np.split(s, cuts)) if len(p)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.list_(pa.int64()))], ["node", "fragment", "shingles"])
+                kinds = (pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["node", "fragment", "size", "shingles"])
 
     found = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     # Several documents may share an id, or a set; one row per node and fragment is enough.
-    return found.mapInArrow(run, "node binary, fragment int, shingles array<long>")
+    return found.mapInArrow(run, "node binary, fragment int, size long, shingles array<long>")
 
 
 def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
@@ -231,7 +245,8 @@ def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     sent = _sent(documents, n_words, similar, n_low, n_high)
     postings = settle(_buckets(_counted(sent, n_low, n_low + n_high), similar))
     busy = postings.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    postings = settle(postings.join(busy, "bucket"))
+    size = F.struct("shingles", "rest", "place").alias("size")
+    postings = settle(postings.join(busy, "bucket").select("bucket", "node", size, "weight"))
 
     classes = summaries.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     wanted = settle(classes.join(postings.select("node").distinct(), "node", "left_semi").select(F.col("first_id").alias("wanted")).distinct())
@@ -239,17 +254,25 @@ def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     segments = settle(_segments(documents, ids, n_words, similar).join(postings.select("node").distinct(), "node", "left_semi").dropDuplicates(["node", "fragment"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = segments.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("of_a"))
-        b = segments.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("of_b"))
+        a = segments.select(F.col("node").alias("a"), "fragment", F.col("size").alias("a_size"), F.col("shingles").alias("of_a"))
+        b = segments.select(F.col("node").alias("b"), "fragment", F.col("size").alias("b_size"), F.col("shingles").alias("of_b"))
         cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
         partial = cut.join(a, ["a", "fragment"]).join(b, ["b", "fragment"]).select("a", "b", "a_size", "b_size", F.size(F.array_intersect("of_a", "of_b")).alias("both"))
         summed = partial.groupBy("a", "b", "a_size", "b_size").agg(F.sum("both").alias("both"))
         return summed.filter(100 * F.col("both") >= similar * (F.col("a_size") + F.col("b_size") - F.col("both")))
 
     def compatible(x, y):
-        return (100 * x >= similar * y) & (100 * y >= similar * x)
+        # If this bucket is the first that the two share, they have no more in common than what
+        # follows it in either order; that must be enough.
+        after = F.least(x["shingles"] - x["place"], y["shingles"] - y["place"])
+        return (100 + similar) * after >= similar * (x["shingles"] + y["shingles"])
+
+    def enough(shared, x, y):
+        # Of one of the two, all that they have in common is in the buckets or comes after them.
+        most = shared + F.greatest(x["rest"], y["rest"])
+        return (100 + similar) * most >= similar * (x["shingles"] + y["shingles"])
 
-    roots = components(connect(postings, verify, compatible))
+    roots = connect(postings, verify, compatible, enough=enough)
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = grouped.join(smallest, "root").select("node", "component_id")
