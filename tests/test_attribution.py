@@ -153,8 +153,8 @@ def test_carry_equals_brute_force(spark, monkeypatch, seed):
 
 def test_hot_keys_are_counted_exactly(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "key string")
-    assert len(carry.hot_keys(df, ["key"], 4)) == 1
-    assert carry.hot_keys(df, ["key"], 5) == []
+    assert carry.hot_keys(df, ["key"], 4).count() == 1
+    assert carry.hot_keys(df, ["key"], 5).isEmpty()
 
 
 def test_column_names(spark):

@@ -122,6 +122,7 @@ def test_host_and_query_equal_the_standard_library(spark, seed):
         ("a;b;1;1_000;", 1000.0),
         ("a;b;1;1e2;,a;b;1;-5;", 95.0),
         ("a;b;1;nan;,a;b;1;inf;,a;b;1;1.0d;,a;b;1;2;", 2.0),
+        ("a;b;1;1e999;,a;b;1;-1e999;,a;b;1;3;", 3.0),
         (";;;.5,;;;3.", 3.5),
     ],
 )

@@ -1,8 +1,11 @@
 import json
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators import report
+from touchline.operators.revenue import keyword_totals
 
 ROWS = [
     ("google.com", "ipod", 480.0), ("bing.com", "zune", 250.0), ("yahoo.com", "cd player", 150.0),
@@ -131,13 +134,35 @@ def test_chart_labels(spark):
         report.revenue_trend(history(spark, *days)),
     ).collect()
     keyword = next(r for r in chart if r["series"] == "keywords")
-    assert (keyword["label"], keyword["full_label"]) == ("x" * 32, "x" * 40 + " (e)")
-    assert max(r["label"] for r in chart if r["series"] == "trend") == "2024-01-30"
+    assert (keyword["label"], keyword["full_label"]) == ("x" * 40, "x" * 40 + " (e)")
+    assert sorted(r["pos"] for r in chart if r["series"] == "trend") == list(range(1, 32))
+    cut = report.chart_series(
+        report.top_keywords(df), report.engine_metrics(df),
+        report.revenue_trend(history(spark, *days)), top=0, dates=2, label_chars=3,
+    ).collect()
+    assert {r["label"] for r in cut} == {"e", "2024-01-30", "2024-01-31"}
+
+
+def test_sums_do_not_depend_on_order(spark):
+    values = [0.1, 1e12, -1e12 + 0.07, 2.675, 0.005] * 40
+    df = frame(spark, [("e", f"k{i % 7}", v) for i, v in enumerate(values)])
+    found = {
+        tuple(map(str, report.engine_metrics(keyword_totals(df.repartition(n).orderBy(F.rand(n)))).first()))
+        for n in (1, 3, 8)
+    }
+    assert len(found) == 1
+    with pytest.raises(Exception, match="out of range"):
+        keyword_totals(frame(spark, [("e", "k", 1e300)])).collect()
+
+
+def test_halves_round_up(spark):
+    df = frame(spark, [("e", f"k{i}", v) for i, v in enumerate((6532.965 * 4 - 3, 1.0, 1.0, 1.0))])
+    assert report.engine_metrics(df).first()["avg_revenue_per_keyword"] == 6532.97
 
 
 def test_report_as_json(spark, tmp_path):
     path = report.write_report_json(
-        report.build_report(frame(spark, ROWS), run_date="2024-01-05"), str(tmp_path), "2024-01-05"
+        report.build_report(frame(spark, ROWS), run_date="2024-01-05", now=datetime(2024, 1, 5)), str(tmp_path), "2024-01-05"
     )
     text = "\n".join(r["value"] for r in spark.read.text(path).collect())
     found = json.loads(text)

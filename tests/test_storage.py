@@ -10,11 +10,11 @@ from touchline.operators.checks import check_sinks, require_synced
 from touchline.operators.normalize import earliest_partition
 from touchline.operators.revenue import keyword_totals
 from touchline.plans.batch import run_batch, search_revenue
-from touchline.session import persisted, settle
+from touchline.session import persisted, remove_shared, settle, settled, shared_folder, shared_root
 from touchline.sinks import files
 from touchline.sinks import tables as stored
 from touchline.sources import landing, layers
-from touchline.streaming.incremental import run_incremental
+from touchline.streaming.incremental import object_totals, run_incremental
 
 HEADER = "hit_time_gmt\tdate_time\tuser_agent\tip\tevent_list\tgeo_city\tgeo_region\tgeo_country" \
          "\tpagename\tpage_url\tproduct_list\treferrer"
@@ -112,8 +112,8 @@ def test_staging_keeps_other_days_and_text_labels(spark, tmp_path):
     labels = {(r["dt"], r["hour"], r["minute"]) for r in layers.read_staging(spark, path).collect()}
     assert labels == {("2009-09-27", "06", "30"), ("2009-09-27", "06", "45"), ("2009-09-27", "07", "00")}
     late = hits_frame(spark, [("86400", "1.1.1.1", "", "", "")])
-    files.write_staging(late, path, n=2)
-    files.write_staging(late, path)
+    files.write_staging(late, path, n=2, source="late")
+    files.write_staging(late, path, source="late")
     assert layers.read_staging(spark, path).count() == len(SAMPLE) + 1
     assert layers.read_staging(spark, path, dt="2009-09-27", hour=7).count() == 2
     assert "67.98.123.xxx" in {r["ip"] for r in layers.read_staging(spark, path).collect()}
@@ -123,6 +123,16 @@ def test_staging_keeps_other_days_and_text_labels(spark, tmp_path):
         files.write_staging(late, path, n=-1)
 
 
+def test_a_staged_source_is_replaced_and_no_other(spark, tmp_path):
+    path = str(tmp_path)
+    files.write_staging(hits_frame(spark, SAMPLE), path, source="a")
+    files.write_staging(hits_frame(spark, SAMPLE[:1]), path, source="b")
+    assert layers.read_staging(spark, path).count() == len(SAMPLE) + 1
+    files.write_staging(hits_frame(spark, SAMPLE[-1:]), path, source="a")
+    assert layers.read_staging(spark, path).count() == 2
+    assert landing.read_hits(spark, path).count() == 2
+
+
 def test_inferred_partition_types_are_text_again(spark, tmp_path):
     files.write_staging(hits_frame(spark, SAMPLE), str(tmp_path))
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -203,19 +213,22 @@ def test_stream_equals_one_file_at_a_time(spark, tmp_path):
     where = [str(tmp_path / d) for d in ("landing", "out", "checkpoint")]
 
     def run():
-        run_incremental(spark, *where, run_date="2024-01-05", max_files=2).awaitTermination()
-        return {tuple(r) for r in spark.read.parquet(where[1]).collect()}
+        run_incremental(
+            spark, *where, run_date="2024-01-05", max_files=2, identity="masked"
+        ).awaitTermination()
+        found = spark.read.parquet(where[1]).collect()
+        assert all(r["output"].endswith("_2024-01-05_SearchKeywordPerformance") for r in found)
+        return {(*r[:6], r["output"].split("_")[0]) for r in found}
 
-    suffix = "_2024-01-05_SearchKeywordPerformance"
     first = run()
     assert first == {
-        ("google.com", "ipod", 480.0, "2009-09-27", "06", "30", f"one{suffix}"),
-        ("bing.com", "zune", 250.0, "2009-09-27", "06", "30", f"one{suffix}"),
-        ("bing.com", "a", 5.0, "1970-01-01", "00", "00", f"four{suffix}"),
+        ("google.com", "ipod", 480.0, "2009-09-27", "06", "30", "one"),
+        ("bing.com", "zune", 250.0, "2009-09-27", "06", "30", "one"),
+        ("bing.com", "a", 5.0, "1970-01-01", "00", "00", "four"),
     }
     put(tmp_path / "landing" / "five.tsv", tsv(SAMPLE[:1] + SAMPLE[-1:]))
     assert run() - first == {
-        ("google.com", "ipod", 290.0, "2009-09-27", "06", "30", f"five{suffix}")
+        ("google.com", "ipod", 290.0, "2009-09-27", "06", "30", "five")
     }
 
 
@@ -228,6 +241,23 @@ def test_flat_object_output(spark, tmp_path):
     assert {r["output"][:3] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"one"}
 
 
+def test_an_object_leaves_its_earlier_folders(spark, tmp_path):
+    """Another earliest time, another run date, and no revenue any more."""
+    root = str(tmp_path)
+
+    def write(rows, day):
+        hits = hits_frame(spark, rows).withColumn("source_file", F.lit("s3://b/x/one.tsv"))
+        found = object_totals(hits.withColumn("source_row", F.col("row")))
+        files.write_object_curated(found, hits, root, day)
+        return {p.parent.name for p in tmp_path.glob("dt=*/**/part-*")}
+
+    first = write(SAMPLE, "2024-01-05")
+    assert len(first) == 1
+    second = write(SAMPLE[1:], "2024-01-06")
+    assert len(second) == 1 and second != first
+    assert write(SAMPLE[:1], "2024-01-06") == set()
+
+
 def insights(spark, data):
     kinds = "keyword_id bigint, search_engine_domain string, search_keyword string," \
             " revenue_impact_score double, last_processed_at timestamp"
@@ -313,6 +343,33 @@ def test_facts_of_a_day_without_results(spark, tmp_path):
         stored.sync_facts(totals(spark), root, "2024-01-05", table="a; drop table b")
 
 
+def test_shared_root():
+    def settings(**given):
+        return lambda key: given.get(key.replace("spark.", "").replace(".", "_"))
+
+    set_ = settings(checkpoint_dir="s3a://b/c/", sql_warehouse_dir="/w")
+    assert shared_root(set_, "yarn") == "s3a://b/c"
+    assert shared_root(settings(sql_warehouse_dir="file:/w"), "local[8]").startswith("file:/w/")
+    assert shared_root(settings(sql_warehouse_dir="hdfs://n/w"), "yarn").startswith("hdfs://n/w/")
+    for local in ("file:/w", "/w", "w", ""):
+        for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+            with pytest.raises(ValueError):
+                shared_root(settings(sql_warehouse_dir=local), master)
+
+
+def test_shared_folders_are_removed(spark):
+    df = spark.range(3)
+    with settled(df) as kept:
+        assert kept.count() == 3
+        where = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+        assert where.exists()
+    assert not where.exists()
+    other = Path(settle(df).inputFiles()[0].removeprefix("file:")).parent
+    assert other.parent == Path(shared_folder(spark)).parent
+    remove_shared(spark)
+    assert not other.exists()
+
+
 def test_settled_and_persisted(spark):
     df = keyword_totals(totals(spark))
     assert sorted(rows(settle(df))) == sorted(rows(df))

@@ -36,7 +36,9 @@ def has_products(products: Column) -> Column:
 def line_revenue(line: Column) -> Column:
     """Fourth field of one product; 0 where it is missing, blank or no number."""
     number = F.regexp_replace(F.regexp_extract(line, _LINE_REVENUE, 1), "_", "")
-    return F.coalesce(number.try_cast("double"), F.lit(0.0))
+    value = number.try_cast("double")
+    # The pattern lets 1e999 through, which is infinite as a double.
+    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(0.0))
 
 
 def product_lines(products: Column) -> Column:

@@ -112,14 +112,15 @@ def attributed_purchases(
     sale = has_event(F.col("event_list"))
     # Revenue first: its array functions end a span of generated code, and one span for the
     # filter and all of the URL steps would be too long for the JVM to compile.
-    priced = visitors.where(sale | is_search_like(F.col("referrer"))).select(
+    matter = visitors.where(sale | is_search_like(F.col("referrer")))
+    priced = matter.select(
         *carried, "referrer",
         F.when(sale, product_revenue(F.col("product_list"))).alias("revenue"),
     )
     candidates = with_touch(priced, match=match).drop("referrer")
     last = carry_forward(
         candidates, keys, ["hit_ts", *ties], value="touch", out="last_touch",
-        hot=hot_keys(visitors, keys, hot_rows), partitions=visitor_partitions,
+        hot=hot_keys(matter, keys, hot_rows), partitions=visitor_partitions,
     )
     return last.where(
         is_attributed(F.col("last_touch")) & positive_revenue(F.col("revenue"))

@@ -25,16 +25,16 @@ def _key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys).alias(_HASH)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[int]:
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Hashes of the keys with more than `hot_rows` rows; runs a job.
 
-    There can be no more of them than rows / hot_rows, which bounds both this list and its
-    broadcast: 500,000 numbers for 5e11 rows. Two keys with one hash are merely both taken
-    for hot. Counting before the plan is built keeps that plan a single window where no key
-    is hot, and lets all its parts agree on the hot keys.
+    There can be no more of them than rows / hot_rows; they stay a frame, and how it is joined
+    is left to adaptive execution, which knows its size. Two keys with one hash are merely both
+    taken for hot. Counting before the plan is built keeps that plan a single window where no
+    key is hot, and lets all its parts agree on the hot keys.
     """
     counts = df.groupBy(_key_hash(keys)).agg(F.count(F.lit(1)).alias("_rows"))
-    return [row[0] for row in counts.where(F.col("_rows") > hot_rows).select(_HASH).collect()]
+    return settle(counts.where(F.col("_rows") > hot_rows).select(_HASH, F.lit(True).alias(_HOT)))
 
 
 def _position_run(df: DataFrame, ties: list[str]) -> Column:
@@ -87,7 +87,7 @@ def carry_forward(
     order: list[str],
     value: str,
     out: str,
-    hot: list[int] | None = None,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     partitions: int = 0,
 ) -> DataFrame:
@@ -110,14 +110,11 @@ def carry_forward(
     def spread(rows, by):
         return rows.repartition(partitions, *by) if partitions else rows
 
-    if not hot:
+    if hot.isEmpty():
         last = F.last(value, ignorenulls=True).over(upto(keys))
         return spread(df, keys).withColumn(out, last)
 
-    marks = df.sparkSession.createDataFrame([(h, True) for h in hot], f"{_HASH} long, {_HOT} boolean")
-    marked = (
-        df.withColumn(_HASH, _key_hash(keys)).join(F.broadcast(marks), _HASH, "left").drop(_HASH)
-    )
+    marked = df.withColumn(_HASH, _key_hash(keys)).join(hot, _HASH, "left").drop(_HASH)
     # Null on the rows of other keys: one slice per key, and no match in the join below.
     is_hot = F.col(_HOT)
     marked = marked.withColumns(

@@ -4,6 +4,7 @@ The input can be large (one row per distinct search), so every frame is an aggre
 top-n of it. Totals are attached as scalar subqueries: one value, no join.
 """
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,9 @@ from touchline.fixed_values import (
     RECOMMENDATION_TEXT,
     STRONG_REVENUE,
 )
+from touchline.functions.money import MONEY, cents, mean, money, percent
+from touchline.operators.tables import number_sorted
+from touchline.session import settle
 
 RULE_ROWS = "pos int, rule string, text string"
 
@@ -29,28 +33,28 @@ def _clean(df: DataFrame) -> DataFrame:
     return df.select(
         F.coalesce("engine_domain", F.lit("")).alias("engine_domain"),
         F.coalesce("keyword", F.lit("")).alias("keyword"),
-        F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue"),
+        F.coalesce(money(F.col("revenue")), _nothing()).alias("revenue"),
     )
 
 
 def _total(df: DataFrame) -> Column:
     """All revenue, 0 for an empty frame."""
-    return df.agg(F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("total")).scalar()
+    return df.agg(F.coalesce(F.sum("revenue"), _nothing()).alias("total")).scalar()
 
 
-def _share(part: Column, total: Column) -> Column:
-    return F.when(total > 0, part / total * 100).otherwise(F.lit(0.0))
+def _nothing() -> Column:
+    return F.lit(0).cast(MONEY)
 
 
 def report_kpis(df: DataFrame) -> DataFrame:
     """One row: revenue, rows, distinct engines, revenue per row."""
     rows = F.count(F.lit(1))
-    total = F.coalesce(F.sum("revenue"), F.lit(0.0))
+    total = F.coalesce(F.sum("revenue"), _nothing())
     return _clean(df).agg(
         total.alias("total_revenue"),
         rows.alias("total_keywords"),
         F.count_distinct("engine_domain").alias("total_search_engines"),
-        F.when(rows > 0, total / rows).otherwise(F.lit(0.0)).alias("avg_revenue_per_keyword"),
+        mean(total, rows).alias("avg_revenue_per_keyword"),
     )
 
 
@@ -67,7 +71,7 @@ def _ranked(slice_: DataFrame, df: DataFrame) -> DataFrame:
         "keyword",
         F.col("engine_domain").alias("search_engine"),
         "revenue",
-        _share(F.col("revenue"), _total(df)).alias("revenue_percentage"),
+        percent(F.col("revenue"), _total(df)).alias("revenue_percentage"),
     ).orderBy("rank")
 
 
@@ -90,9 +94,9 @@ def engine_metrics(df: DataFrame) -> DataFrame:
         .select(
             "engine",
             "total_revenue",
-            _share(F.col("total_revenue"), _total(rows)).alias("revenue_percentage"),
+            percent(F.col("total_revenue"), _total(rows)).alias("revenue_percentage"),
             "keyword_count",
-            (F.col("total_revenue") / F.col("keyword_count")).alias("avg_revenue_per_keyword"),
+            mean(F.col("total_revenue"), F.col("keyword_count")).alias("avg_revenue_per_keyword"),
         )
         .orderBy(F.desc("total_revenue"), "engine")
     )
@@ -109,7 +113,7 @@ def revenue_trend(history: DataFrame) -> DataFrame:
         day,
         F.coalesce("keyword", F.lit("")).alias("keyword"),
         F.coalesce("engine_domain", F.lit("")).alias("engine_domain"),
-        F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue"),
+        F.coalesce(money(F.col("revenue")), _nothing()).alias("revenue"),
     )
     reduced = keyed.groupBy("date", "keyword", "engine_domain").agg(
         F.sum("revenue").alias("revenue")
@@ -121,7 +125,9 @@ def revenue_trend(history: DataFrame) -> DataFrame:
             F.count_distinct("keyword").alias("unique_keywords"),
             F.count_distinct("engine_domain").alias("unique_search_engines"),
         )
-        .withColumn("avg_revenue_per_keyword", F.col("total_revenue") / F.col("unique_keywords"))
+        .withColumn(
+            "avg_revenue_per_keyword", mean(F.col("total_revenue"), F.col("unique_keywords"))
+        )
         .orderBy("date")
     )
 
@@ -139,8 +145,8 @@ def period_change(trend: DataFrame) -> DataFrame:
         .where((F.col("_dates") == 2) & (F.col("previous_revenue") > 0))
         .select(
             "date", "total_revenue", "previous_revenue",
-            ((F.col("total_revenue") - F.col("previous_revenue"))
-             / F.col("previous_revenue") * 100).alias("change_percentage"),
+            percent(F.col("total_revenue") - F.col("previous_revenue"), F.col("previous_revenue"))
+            .alias("change_percentage"),
         )
     )
 
@@ -151,7 +157,7 @@ def top5_share(df: DataFrame) -> DataFrame:
         top_keywords(df, 5)
         .agg(F.sum("revenue").alias("top5_revenue"), F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") == 5)
-        .select("top5_revenue", _share(F.col("top5_revenue"), _total(_clean(df)))
+        .select("top5_revenue", percent(F.col("top5_revenue"), _total(_clean(df)))
                 .alias("top5_percentage"))
     )
 
@@ -160,36 +166,50 @@ def _metrics(df: DataFrame, history: DataFrame | None) -> DataFrame:
     """One row with all the insight rules look at."""
     rows = _clean(df)
     engines = engine_metrics(df)
-    share = top5_share(df).select("top5_percentage").scalar()
-    change = F.lit(None).cast("double")
+    top5 = top5_share(df).select("top5_revenue").scalar()
+    change = F.lit(None).cast(f"struct<total_revenue:{MONEY},previous_revenue:{MONEY}>")
     if history is not None:
-        change = period_change(revenue_trend(history)).select("change_percentage").scalar()
+        change = period_change(revenue_trend(history)).select(
+            F.struct("total_revenue", "previous_revenue")
+        ).scalar()
     return report_kpis(rows).select(
         "total_revenue",
         F.col("total_search_engines").alias("engines"),
         top_keywords(df, 1).select(F.struct("*")).scalar().alias("top"),
         engines.limit(1).select(F.struct("*")).scalar().alias("engine"),
         change.alias("change"),
-        share.alias("top5"),
+        top5.alias("top5"),
     )
 
 
+def _above(part: Column, whole: Column, limit: float) -> Column:
+    """Whether part is more than `limit` percent of whole, exactly."""
+    return part * 100 > whole * F.lit(limit).cast("decimal(5,2)")
+
+
+def _in_percent(part: Column, whole: Column) -> Column:
+    """For texts, which round it themselves."""
+    return F.when(whole > 0, part.cast("double") / whole.cast("double") * 100).otherwise(F.lit(0.0))
+
+
 def _money_or_share(c: Column, digits: int) -> Column:
     """Rounded half to even, as the texts expect; formatting alone rounds half up."""
-    return F.bround(c, digits)
+    return F.bround(c, digits).cast("double")
 
 
 def _insight_rules() -> list[Column]:
     """One (rule, text) or null per rule group, in output order."""
     total, top, engine = F.col("total_revenue"), F.col("top"), F.col("engine")
-    change, top5 = F.col("change"), F.col("top5")
+    top5, before = F.col("top5"), F.col("change.previous_revenue")
+    moved_by = F.col("change.total_revenue") - before
 
     def say(rule, *values):
         text = F.format_string(INSIGHT_TEXT[rule], *values) if values else F.lit(INSIGHT_TEXT[rule])
         return F.struct(F.lit(rule).alias("rule"), text.alias("text"))
 
     money = _money_or_share(total, 2)
-    moved = _money_or_share(F.abs(change), 1)
+    moved = _money_or_share(F.abs(_in_percent(moved_by, before)), 1)
+    of_engine = _in_percent(engine["total_revenue"], total)
     return [
         F.when(total > STRONG_REVENUE, say("rev_strong", money))
         .when(total > MODERATE_REVENUE, say("rev_moderate", money))
@@ -197,18 +217,18 @@ def _insight_rules() -> list[Column]:
         F.when(
             top["revenue"] > HIGH_KEYWORD_REVENUE,
             say("top_keyword", top["keyword"], top["search_engine"],
-                _money_or_share(top["revenue"], 2), _money_or_share(top["revenue_percentage"], 1)),
+                _money_or_share(top["revenue"], 2), _money_or_share(_in_percent(top["revenue"], total), 1)),
         ),
         F.when(
-            engine["revenue_percentage"] > DOMINANT_SHARE,
-            say("dominance", engine["engine"], _money_or_share(engine["revenue_percentage"], 1)),
+            _above(engine["total_revenue"], total, DOMINANT_SHARE),
+            say("dominance", engine["engine"], _money_or_share(of_engine, 1)),
         ).when(F.col("engines") == 1, say("single_engine", engine["engine"])),
-        F.when(change > EXCELLENT_GROWTH, say("growth_excellent", moved))
-        .when(change < -CONCERNING_DROP, say("drop_concerning", moved))
-        .when(change > 0, say("growth", moved))
-        .when(change.isNotNull(), say("decline", moved)),
-        F.when(top5 > HIGH_CONCENTRATION, say("concentration_high"))
-        .when(top5 < LOW_CONCENTRATION, say("diversity_good")),
+        F.when(_above(moved_by, before, EXCELLENT_GROWTH), say("growth_excellent", moved))
+        .when(_above(-moved_by, before, CONCERNING_DROP), say("drop_concerning", moved))
+        .when(moved_by > 0, say("growth", moved))
+        .when(moved_by.isNotNull(), say("decline", moved)),
+        F.when(_above(top5, total, HIGH_CONCENTRATION), say("concentration_high"))
+        .when(_above(-top5, -total, LOW_CONCENTRATION), say("diversity_good")),
     ]
 
 
@@ -230,14 +250,16 @@ def insights(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
 
 
 def _recommendation_rules() -> list[Column]:
-    total, engine, change = F.col("total_revenue"), F.col("engine"), F.col("change")
+    total, engine, before = F.col("total_revenue"), F.col("engine"), F.col("change.previous_revenue")
+    moved_by = F.col("change.total_revenue") - before
+    dominant = _above(engine["total_revenue"], total, DOMINANT_SHARE)
     applies = {
         "rev_low": total <= MODERATE_REVENUE,
         "one_engine": F.col("engines") == 1,
-        "dominance": (F.col("engines") > 1) & (engine["revenue_percentage"] > DOMINANT_SHARE),
-        "drop_concerning": change < -CONCERNING_DROP,
-        "growth_excellent": change > EXCELLENT_GROWTH,
-        "concentration_high": F.col("top5") > HIGH_CONCENTRATION,
+        "dominance": (F.col("engines") > 1) & dominant,
+        "drop_concerning": _above(-moved_by, before, CONCERNING_DROP),
+        "growth_excellent": _above(moved_by, before, EXCELLENT_GROWTH),
+        "concentration_high": _above(F.col("top5"), total, HIGH_CONCENTRATION),
     }
     return [
         F.when(
@@ -258,80 +280,120 @@ def recommendations(df: DataFrame, history: DataFrame | None = None) -> DataFram
     return _as_rows(_metrics(df, history), _present(_recommendation_rules()))
 
 
-def chart_series(keywords: DataFrame, engines: DataFrame, trend: DataFrame) -> DataFrame:
+def chart_series(
+    keywords: DataFrame, engines: DataFrame, trend: DataFrame,
+    top: int | None = None, dates: int | None = None, label_chars: int | None = None,
+) -> DataFrame:
     """Long frame (series, pos, label, full_label, value) of what the report charts show.
 
-    Ten keywords, all engines and the first thirty dates. Ranks of engines and dates are
-    windows over one row per engine or date.
+    Everything by default; a caller may ask for the `top` keywords, the newest `dates`, or
+    labels of so many characters. Positions are numbered without a task that sees all rows.
     """
-    shown = keywords.where(F.col("rank") <= 10).select(
+    shown = keywords if top is None else keywords.where(F.col("rank") <= top)
+    label = F.col("keyword") if label_chars is None else F.substring("keyword", 1, label_chars)
+    shown = shown.select(
         F.lit("keywords").alias("series"),
-        F.col("rank").cast("int").alias("pos"),
-        F.substring("keyword", 1, 32).alias("label"),
+        F.col("rank").cast("bigint").alias("pos"),
+        label.alias("label"),
         F.concat("keyword", F.lit(" ("), "search_engine", F.lit(")")).alias("full_label"),
-        F.round("revenue", 2).alias("value"),
+        cents(F.col("revenue")).alias("value"),
     )
-    by_revenue = F.row_number().over(Window.orderBy(F.desc("total_revenue"), "engine"))
-    by_engine = engines.select(
-        F.lit("engines").alias("series"), by_revenue.alias("pos"), F.col("engine").alias("label"),
-        F.col("engine").alias("full_label"), F.round("total_revenue", 2).alias("value"),
+    by_revenue = [F.desc("total_revenue"), F.col("engine")]
+    by_engine = number_sorted(engines, by_revenue, "pos").select(
+        F.lit("engines").alias("series"), "pos", F.col("engine").alias("label"),
+        F.col("engine").alias("full_label"), cents(F.col("total_revenue")).alias("value"),
     )
-    by_date = F.row_number().over(Window.orderBy("date"))
-    first_dates = trend.orderBy("date").limit(30).select(
-        F.lit("trend").alias("series"), by_date.alias("pos"), F.col("date").alias("label"),
-        F.col("date").alias("full_label"), F.round("total_revenue", 2).alias("value"),
+    newest = trend if dates is None else trend.orderBy(F.desc("date")).limit(dates)
+    by_date = number_sorted(newest, [F.col("date")], "pos").select(
+        F.lit("trend").alias("series"), "pos", F.col("date").alias("label"),
+        F.col("date").alias("full_label"), cents(F.col("total_revenue")).alias("value"),
     )
-    return reduce(DataFrame.unionByName, [shown, by_engine, first_dates])
+    return reduce(DataFrame.unionByName, [shown, by_engine, by_date])
+
 
+_NAMES = ["date", "keyword", "search_engine", "engine", "rule", "text"]
+_AMOUNTS = ["revenue", "revenue_percentage", "total_revenue", "avg_revenue_per_keyword"]
+_COUNTS = ["total_keywords", "total_search_engines", "keyword_count", "unique_keywords",
+           "unique_search_engines"]
 
-def _listed(df: DataFrame, sort: Column, *columns: str) -> Column:
-    """A small frame as one array, in order."""
-    row = F.struct(sort.alias("_sort"), F.struct(*columns).alias("row"))
-    ordered = F.array_sort(F.collect_list(row))
-    return df.agg(F.transform(ordered, lambda item: item["row"]).alias("rows")).scalar()
+
+def report_rows(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """The whole report as rows (section, pos, names and values); null where a section has none.
+
+    Amounts are rounded to cents. However many engines and dates there are, no task holds them all.
+    """
+    engines = number_sorted(engine_metrics(df), [F.desc("total_revenue"), F.col("engine")], "pos")
+    sections = {
+        "kpis": report_kpis(df).withColumn("pos", F.lit(1)),
+        "top_keywords": top_keywords(df).withColumn("pos", F.col("rank")),
+        "bottom_keywords": bottom_keywords(df).withColumn("pos", F.col("rank")),
+        "search_engines": engines,
+        "insights": insights(df, history),
+        "recommendations": recommendations(df, history),
+    }
+    if history is not None:
+        sections["revenue_trend"] = number_sorted(revenue_trend(history), [F.col("date")], "pos")
+
+    def shaped(name: str, frame: DataFrame) -> DataFrame:
+        def column(c: str, kind: str) -> Column:
+            if c not in frame.columns:
+                return F.lit(None).cast(kind).alias(c)
+            return (cents(F.col(c)) if kind == "double" else F.col(c).cast(kind)).alias(c)
+
+        return frame.select(
+            F.lit(name).alias("section"), F.col("pos").cast("bigint").alias("pos"),
+            *(column(c, "string") for c in _NAMES), *(column(c, "double") for c in _AMOUNTS),
+            *(column(c, "bigint") for c in _COUNTS),
+        )
+
+    return reduce(DataFrame.unionByName, [shaped(n, f) for n, f in sections.items()])
 
 
 def build_report(
-    df: DataFrame, history: DataFrame | None = None, run_date: str | None = None
+    df: DataFrame, history: DataFrame | None = None, run_date: str | None = None,
+    now: datetime | None = None, partition: tuple[str, str, str] | None = None,
 ) -> DataFrame:
-    """The whole report as one nested row.
+    """The whole report as one nested row, put together from `report_rows`.
 
-    Its lists hold at most ten keywords, one entry per engine and one per date.
+    That row holds an entry per engine and per date by definition; report_rows does not need it.
+    `now` and `partition` (dt, hour, minute bucket) are what the row says about its run.
     """
+    with_trend = history is not None
+    rows = settle(report_rows(settle(df), settle(history) if with_trend else None))
+    ranked = ["keyword", "search_engine", "revenue", "revenue_percentage"]
+    of_engine = ["engine", "total_revenue", "revenue_percentage", "keyword_count",
+                 "avg_revenue_per_keyword"]
+    of_date = ["date", "total_revenue", "unique_keywords", "unique_search_engines",
+               "avg_revenue_per_keyword"]
+
+    def listed(section: str, entry: Column) -> Column:
+        found = F.collect_list(F.when(F.col("section") == section, F.struct("pos", entry.alias("e"))))
+        return F.transform(F.array_sort(found), lambda item: item["e"]).alias(section)
+
+    def single(name: str) -> Column:
+        return F.first(F.when(F.col("section") == "kpis", F.col(name)), ignorenulls=True).alias(name)
+
+    rank = F.col("pos").cast("int").alias("rank")
+    moment = F.lit(now.isoformat()) if now else F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    )
+    place = F.lit(None).cast("struct<dt:string,hour:string,minute_bucket:string>")
+    if partition:
+        place = F.struct(*(F.lit(v).alias(n) for n, v in zip(("dt", "hour", "minute_bucket"), partition)))
     today = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
-    ranked = ["keyword", "search_engine", "revenue", "revenue_percentage", "rank"]
-    trend_columns = ["date", "total_revenue", "unique_keywords", "unique_search_engines",
-                     "avg_revenue_per_keyword"]
-    if history is None:
-        day = "struct<date:string,total_revenue:double,unique_keywords:bigint," \
-              "unique_search_engines:bigint,avg_revenue_per_keyword:double>"
-        trend = F.array().cast(f"array<{day}>")
-    else:
-        trend = _listed(revenue_trend(history), F.col("date"), *trend_columns)
-    engines = engine_metrics(df)
-    engine_order = F.struct((-F.col("total_revenue")).alias("by"), "engine")
-    rules = _metrics(df, history)
-
-    def texts(found):
-        return F.transform(_present(found), lambda rule: rule["text"])
-
-    said = rules.select(
-        F.struct(texts(_insight_rules()).alias("insights"),
-                 texts(_recommendation_rules()).alias("recommendations"))
-    ).scalar()
-    report = report_kpis(df).select(
+    report = rows.agg(
+        *(single(c) for c in ("total_revenue", "total_keywords", "total_search_engines",
+                              "avg_revenue_per_keyword")),
+        *(listed(s, F.struct(*ranked, rank)) for s in ("top_keywords", "bottom_keywords")),
+        listed("search_engines", F.struct(*of_engine)),
+        listed("revenue_trend", F.struct(*of_date)),
+        listed("insights", F.col("text")),
+        listed("recommendations", F.col("text")),
+    )
+    return report.select(
         (F.lit(run_date) if run_date else today).alias("report_date"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-        .alias("report_timestamp"),
-        F.lit(None).cast("string").alias("data_partition"),
-        "*",
-        _listed(top_keywords(df), F.col("rank"), *ranked).alias("top_keywords"),
-        _listed(bottom_keywords(df), F.col("rank"), *ranked).alias("bottom_keywords"),
-        _listed(engines, engine_order, *engines.columns).alias("search_engines"),
-        trend.alias("revenue_trend"),
-        said.alias("_said"),
+        moment.alias("report_timestamp"), place.alias("data_partition"), "*",
     )
-    return report.select("*", "_said.insights", "_said.recommendations").drop("_said")
 
 
 def report_json(report: DataFrame) -> DataFrame:

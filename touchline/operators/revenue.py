@@ -4,12 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.fixed_values import CURATED_NAMES
+from touchline.functions.money import cents, money
 
 
 def keyword_totals(purchases: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Sum per engine and keyword (and `by`), in no order; partial sums before the shuffle."""
+    """Exact sum per engine and keyword (and `by`); partial sums before the shuffle."""
     return purchases.groupBy(*(by or []), "engine_domain", "keyword").agg(
-        F.sum("revenue").alias("revenue")
+        F.sum(money(F.col("revenue"))).alias("revenue")
     )
 
 
@@ -23,5 +24,5 @@ def to_display(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("engine_domain").alias(CURATED_NAMES["engine_domain"]),
         F.col("keyword").alias(CURATED_NAMES["keyword"]),
-        F.round("revenue", 2).alias(CURATED_NAMES["revenue"]),
+        cents(F.col("revenue")).alias(CURATED_NAMES["revenue"]),
     )

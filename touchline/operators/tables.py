@@ -5,6 +5,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import settle
+
 FACT_SCHEMA = (
     "event_date date, search_engine_domain string, search_keyword string,"
     " total_revenue decimal(18,2)"
@@ -76,25 +78,44 @@ def number_rows(df: DataFrame, key: list[str], out: str) -> DataFrame:
     )
 
 
+def number_sorted(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Add consecutive numbers from 1 in an order; only the sizes of the ranges meet in one task."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    placed = settle(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    # The id is the range's number, times 2^33, and the place in it.
+    placed = placed.withColumn("_range", F.shiftright("_id", 33))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    )
+    place = F.col("_start") + F.col("_id") - F.shiftleft("_range", 33) + 1
+    # No more rows than ranges.
+    numbered = placed.join(F.broadcast(starts), "_range").withColumn(out, place)
+    return numbered.drop("_id", "_range", "_start")
+
+
 def upsert_insights(existing: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     """Existing insights with the scores of `new` (engine_domain, keyword, revenue).
 
-    Known keys keep their id, new ones get the next ids; untouched rows keep their time.
+    Known keys keep their id, new ones get the next ids; untouched rows keep their time. Both
+    sides are joined once; what the join gave is written, as it is read three times.
     """
-    kept = dedupe_insights(existing)
     scores = new.select(
         F.col("engine_domain").alias(KEY[0]),
         F.col("keyword").alias(KEY[1]),
         F.col("revenue").cast("double").alias("_score"),
     )
-    joined = kept.join(scores, KEY, "full_outer")
+    joined = settle(dedupe_insights(existing).join(scores, KEY, "full_outer"))
     score = F.coalesce("_score", "revenue_impact_score")
     time = F.when(F.col("_score").isNotNull(), now).otherwise(F.col("last_processed_at"))
     updated = joined.where(F.col("keyword_id").isNotNull()).select(
         "keyword_id", *KEY, score.alias("revenue_impact_score"), time.alias("last_processed_at")
     )
-    highest = existing.agg(F.coalesce(F.max("keyword_id"), F.lit(0)).alias("n")).scalar()
-    fresh = scores.join(kept, KEY, "left_anti")
+    # Of the rows with one key the highest id is kept, so this is the highest of all.
+    highest = joined.agg(F.coalesce(F.max("keyword_id"), F.lit(0)).alias("n")).scalar()
+    fresh = joined.where(F.col("keyword_id").isNull())
     inserted = number_rows(fresh, KEY, "_number").select(
         (highest + F.col("_number")).alias("keyword_id"),
         *KEY,

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators.attribution import attributed_purchases
 from touchline.operators.revenue import keyword_revenue, keyword_totals
-from touchline.session import settle
+from touchline.session import settled
 from touchline.sinks.files import utc_today, write_curated, write_staging
 from touchline.sinks.tables import sync_facts, sync_insights
-from touchline.sources.landing import read_hits
+from touchline.sources.landing import read_hits, scan_path
 
 
 def search_revenue(hits: DataFrame, **options) -> DataFrame:
@@ -44,12 +44,11 @@ def run_batch(
     date = run_date or utc_today()
     hits = read_hits(spark, landing, fmt, dt=dt, hour=hour, minute=minute, interval=interval)
     if staging:
-        write_staging(hits, staging, interval, staging_parts)
-    totals = keyword_totals(attributed_purchases(hits, **attribution))
-    if tables:
-        totals = settle(totals)
-    path = write_curated(totals, curated, date, curated_files)
-    if tables:
-        sync_facts(totals, tables, date, skip_if_empty=skip_if_empty)
-        sync_insights(totals, tables, now)
+        source = scan_path(landing, dt, hour, minute, interval)
+        write_staging(hits, staging, interval, staging_parts, source=source)
+    with settled(keyword_totals(attributed_purchases(hits, **attribution)), bool(tables)) as totals:
+        path = write_curated(totals, curated, date, curated_files)
+        if tables:
+            sync_facts(totals, tables, date, skip_if_empty=skip_if_empty)
+            sync_insights(totals, tables, now)
     return path

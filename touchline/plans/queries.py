@@ -1,10 +1,14 @@
 """The registered queries: one per operator, each over the whole of its tables."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.fixed_values import CURATED_NAMES, CURATED_SUFFIX
 from touchline.functions import clock, privacy, products, url
+from touchline.functions.money import cents
 from touchline.operators import report
 from touchline.operators.attribution import (
     SOURCE_FILE,
@@ -14,6 +18,7 @@ from touchline.operators.attribution import (
 )
 from touchline.operators.checks import check_sinks
 from touchline.operators.normalize import (
+    TEXT_COLUMNS,
     earliest_partition,
     normalize_columns,
     normalize_types,
@@ -22,8 +27,9 @@ from touchline.operators.normalize import (
 )
 from touchline.operators.revenue import keyword_revenue, keyword_totals, to_display
 from touchline.operators.tables import dedupe_insights, replace_date, to_facts, upsert_insights
+from touchline.plans.batch import run_batch
 from touchline.plans.hits import TIE, event_hits, raw_hits
-from touchline.session import settle, shared_folder, tune
+from touchline.session import remove_folder, settle, shared_folder, tune
 from touchline.sinks.files import (
     write_curated,
     write_object_curated,
@@ -31,6 +37,8 @@ from touchline.sinks.files import (
     write_tab,
     with_object_partition,
 )
+from touchline.sinks.tables import read_facts, read_insights, sync_facts, sync_insights
+from touchline.sources.folders import files_below, rename
 from touchline.sources.landing import convert_tsv_to_parquet, read_hits
 from touchline.sources.layers import (
     output_exists,
@@ -107,7 +115,7 @@ def _urls(spark, sf) -> DataFrame:
 
 
 def _cents(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 2) for n in names})
+    return df.withColumns({n: cents(col(n)) for n in names})
 
 
 _CORE = ["event_id", "hit_ts", "ip", "user_agent", "event_list", "product_list", "referrer"]
@@ -169,7 +177,7 @@ def read_history_query(spark, sf):
     run = F.concat("dt", F.lit(f"_{CURATED_SUFFIX}")).alias("run")
     days = _dated_totals(spark, sf)
     days.select("*", run).select(
-        "run", *(F.round(c, 2).alias(s) if c == "revenue" else col(c).alias(s)
+        "run", *(cents(col(c)).alias(s) if c == "revenue" else col(c).alias(s)
                  for c, s in CURATED_NAMES.items())
     ).write.partitionBy("run").parquet(path)
     return read_history(spark, path)
@@ -178,16 +186,99 @@ def read_history_query(spark, sf):
 def stream_ingest(spark, sf):
     path = shared_folder(spark)
     _landed(raw_hits(spark, sf), f"{path}/landing", "parquet")
-    query = run_incremental(
-        spark, f"{path}/landing", f"{path}/out", f"{path}/checkpoint", run_date=RUN_DATE
-    )
-    query.awaitTermination()
-    curated = spark.read.parquet(f"{path}/out").withColumnsRenamed(
+    _ingest(spark, path, identity="masked")
+    return _object_results(spark, f"{path}/out")
+
+
+def _ingest(spark, path, **options):
+    run_incremental(
+        spark, f"{path}/landing", f"{path}/out", f"{path}/checkpoint", run_date=RUN_DATE, **options
+    ).awaitTermination()
+
+
+def _object_results(spark, path):
+    curated = spark.read.parquet(path).withColumnsRenamed(
         {shown: name for name, shown in CURATED_NAMES.items()}
     )
     return curated.select("dt", "hour", "minute", "engine_domain", "keyword", "revenue")
 
 
+def _one_file_each(df: DataFrame, path: str, fmt: str, name: str) -> None:
+    """The hits of ten days at a time as one file of a given name, in a folder of its own."""
+    spark = df.sparkSession
+    parts = f"{path}-parts"
+    df = df.withColumn("day", F.substring("date_time", 1, 9)).repartition("day")
+    writer = df.write.partitionBy("day")
+    if fmt == "parquet":
+        writer.parquet(parts)
+    else:
+        writer.option("header", "true").option("sep", "\t").option("quote", '"').option(
+            "escape", '"').option("ignoreLeadingWhiteSpace", "false").option(
+            "ignoreTrailingWhiteSpace", "false").csv(parts)
+    for file in files_below(spark, parts):
+        rename(spark, file, f"{path}/{file.split('/')[-2].removeprefix('day=')}/{name}")
+
+
+def stream_same_names(spark, sf):
+    """Files of one name in many folders, one file per batch, processed twice."""
+    path = shared_folder(spark)
+    _one_file_each(raw_hits(spark, sf), f"{path}/landing", "parquet", "hits.parquet")
+    _ingest(spark, path, max_files=1)
+    remove_folder(spark, f"{path}/checkpoint")
+    _ingest(spark, path, max_files=5)
+    return _object_results(spark, f"{path}/out")
+
+
+def scan_mixed_names(spark, sf):
+    """Parquet and text told apart by content where the name does not tell."""
+    path = shared_folder(spark)
+    hits = raw_hits(spark, sf)
+    id4 = col("event_id") % 4
+    _one_file_each(hits.where(id4 == 0), f"{path}/in/a", "parquet", "hits.parq")
+    _one_file_each(hits.where(id4 == 1), f"{path}/in/b", "parquet", "noext")
+    _one_file_each(hits.where(id4 == 2), f"{path}/in/c", "parquet", "hits.tsv.parquet")
+    _one_file_each(hits.where(id4 == 3), f"{path}/in/d", "tsv", "plain")
+    return _core(read_hits(spark, f"{path}/in", "auto"))
+
+
+def scan_schemas(spark, sf):
+    """Times as numbers in some files and as text in others; a column that some files lack."""
+    path = shared_folder(spark)
+    hits = raw_hits(spark, sf)
+    numeric = col("hit_time_gmt").rlike("^[0-9]+$")
+    whole = hits.where(numeric).withColumn("hit_time_gmt", col("hit_time_gmt").cast("bigint"))
+    _landed(whole.drop("geo_city"), f"{path}/a", "parquet")
+    _landed(hits.where(~numeric), f"{path}/b", "parquet")
+    found = read_hits(spark, path)
+    return found.select(
+        col("event_id").cast("bigint").alias("event_id"), "hit_ts", "ip", "geo_city", "referrer"
+    )
+
+
+def scan_staged(spark, sf):
+    """Landed hits, staged, and read as hits once more."""
+    path = shared_folder(spark)
+    _landed(raw_hits(spark, sf), f"{path}/landing", "parquet")
+    write_staging(read_hits(spark, f"{path}/landing"), f"{path}/staging", STAGING_INTERVAL, mask=False)
+    return _core(read_hits(spark, f"{path}/staging"))
+
+
+def staging_reruns(spark, sf):
+    """Two landing slices whose rows share hours; the second is staged twice."""
+    path = shared_folder(spark)
+    hits = raw_hits(spark, sf)
+    late = col("event_id") % 5 == 0
+    slices = {"first": hits.where(~late), "second": hits.where(late)}
+    for name, rows in slices.items():
+        _landed(rows, f"{path}/{name}", "parquet")
+    for name in ("first", "second", "second"):
+        source = f"{path}/{name}"
+        write_staging(
+            read_hits(spark, source), f"{path}/staging", STAGING_INTERVAL, mask=False, source=source
+        )
+    return _core(read_staging(spark, f"{path}/staging"))
+
+
 # Normalisation.
 
 
@@ -237,8 +328,10 @@ def attributed_purchases_query(spark, sf):
 def check_output(spark, sf):
     path = shared_folder(spark)
     write_curated(_totals(spark, sf), path, RUN_DATE)
-    found = [(day, output_exists(spark, path, day)) for day in (RUN_DATE, "1999-12-31")]
-    return spark.createDataFrame(found, "run_date string, found boolean")
+    days = _totals(spark, sf).agg(F.count(F.lit(1)).alias("totals"))
+    found = {day: output_exists(spark, path, day) for day in (RUN_DATE, "1999-12-31")}
+    asked = F.explode(F.create_map(*(F.lit(x) for pair in found.items() for x in pair)))
+    return days.select(asked.alias("run_date", "found"), "totals")
 
 
 # Time.
@@ -266,8 +359,9 @@ def minute_bucket_7(spark, sf):
 
 
 def valid_buckets(spark, sf):
-    valid = col("minute").isin(clock.valid_minute_buckets(7))
-    return _buckets(spark, sf, 7).where(valid).groupBy("minute").agg(
+    """Buckets of 5 minutes that are buckets of 15 minutes, too."""
+    valid = col("minute").isin(clock.valid_minute_buckets(15))
+    return _buckets(spark, sf, 5).where(valid).groupBy("minute").agg(
         F.count(F.lit(1)).alias("hits")
     )
 
@@ -388,6 +482,11 @@ def last_touch_masked(spark, sf):
     return _touches(event_hits(spark, sf), identity="masked")
 
 
+def last_touch_hot(spark, sf):
+    """With nearly every visitor taken for a hot one, so cut into slices."""
+    return _touches(event_hits(spark, sf), hot_rows=20)
+
+
 def last_touch_by_file(spark, sf):
     return _touches(_filed_hits(spark, sf), scope="file")
 
@@ -410,7 +509,7 @@ def _report(df: DataFrame) -> DataFrame:
     """Amounts and shares in two decimals, counts as bigint."""
     return df.select(
         *(
-            F.round(c, 2).alias(c) if c in _REPORT_CENTS
+            cents(col(c)).alias(c) if c in _REPORT_CENTS
             else col(c).cast("bigint").alias(c) if kind in ("int", "bigint") else col(c)
             for c, kind in df.dtypes
         )
@@ -469,12 +568,54 @@ def chart_series(spark, sf):
     )
 
 
+def report_rows(spark, sf):
+    return report.report_rows(*_report_inputs(spark, sf))
+
+
+def _built(spark, sf) -> DataFrame:
+    totals, history = _report_inputs(spark, sf)
+    return report.build_report(
+        totals, history, RUN_DATE, datetime.fromisoformat(RUN_TIME), ("2024-01-02", "12", "00")
+    )
+
+
 def report_row(spark, sf):
-    return report.build_report(*_report_inputs(spark, sf), RUN_DATE)
+    """The nested row, its lists written out as text."""
+    built = _built(spark, sf)
+    listed = [f.name for f in built.schema if isinstance(f.dataType, T.ArrayType)]
+    return built.select(
+        "report_date", "report_timestamp", "data_partition.*", "total_revenue", "total_keywords",
+        "total_search_engines", "avg_revenue_per_keyword",
+        *(F.size(c).cast("bigint").alias(f"n_{c}") for c in listed),
+        col("top_keywords")[0]["keyword"].alias("top_keyword"),
+        col("bottom_keywords")[0]["revenue"].alias("bottom_revenue"),
+        F.array_join(F.transform("search_engines", lambda e: e["engine"]), ",").alias("engines"),
+        F.array_join(F.transform("revenue_trend", lambda d: d["date"]), ",").alias("dates"),
+        F.array_join("insights", "|").alias("insights"),
+        F.array_join("recommendations", "|").alias("recommendations"),
+    )
+
+
+_JSON_FIELDS = ["report_date", "report_timestamp", "total_revenue", "total_keywords"]
+
+
+def _json_fields(df: DataFrame) -> DataFrame:
+    """What the JSON text says, read back as text."""
+    return df.select(
+        *(F.get_json_object("json", f"$.{c}").alias(c) for c in _JSON_FIELDS),
+        F.get_json_object("json", "$.data_partition.minute_bucket").alias("minute_bucket"),
+        F.get_json_object("json", "$.top_keywords[0].keyword").alias("top_keyword"),
+        F.get_json_object("json", "$.search_engines[0].engine").alias("top_engine"),
+    )
 
 
 def report_json(spark, sf):
-    return report.report_json(report_row(spark, sf))
+    return _json_fields(report.report_json(_built(spark, sf)))
+
+
+def write_report_json(spark, sf):
+    path = report.write_report_json(_built(spark, sf), shared_folder(spark), RUN_DATE)
+    return _json_fields(spark.read.text(path, wholetext=True).withColumnRenamed("value", "json"))
 
 
 # Tables.
@@ -482,7 +623,11 @@ def report_json(spark, sf):
 
 def _insight_rows(spark, sf) -> DataFrame:
     """Insights as one row per sale, hence many per engine and keyword."""
-    return _sales(spark, sf).select(
+    return _as_insights(_sales(spark, sf))
+
+
+def _as_insights(sales: DataFrame) -> DataFrame:
+    return sales.select(
         col("event_id").alias("keyword_id"),
         col("engine_domain").alias("search_engine_domain"),
         col("keyword").alias("search_keyword"),
@@ -504,23 +649,70 @@ def insight_dedupe(spark, sf):
 
 
 def insight_upsert(spark, sf):
-    known = _insight_rows(spark, sf).where(col("search_engine_domain") != "google.com")
+    sales = settle(_sales(spark, sf))
+    known = _as_insights(sales).where(col("search_engine_domain") != "google.com")
     now = F.lit(RUN_TIME).cast("timestamp")
-    return _shown_insights(upsert_insights(known, _totals(spark, sf), now))
+    return _shown_insights(upsert_insights(known, keyword_totals(sales), now))
+
+
+def sync_insights_query(spark, sf):
+    """Twice: what the sales of even hours say, then all of them; read back."""
+    path = shared_folder(spark)
+    sales = settle(_sales(spark, sf))
+    first = sales.where(F.floor(col("hit_ts") / 3600) % 2 == 0)
+    for totals, hour in ((keyword_totals(first), 9), (keyword_totals(sales), 12)):
+        sync_insights(totals, path, datetime(2024, 1, 2, hour, tzinfo=timezone.utc))
+    return _shown_insights(read_insights(spark, path))
+
+
+def sync_facts_query(spark, sf):
+    """Every day once, and one of them again with the totals of all days; read back."""
+    path = shared_folder(spark)
+    days = settle(_dated_totals(spark, sf))
+    for row in days.select("dt").distinct().collect():
+        sync_facts(days.where(col("dt") == row["dt"]), path, row["dt"])
+    sync_facts(keyword_totals(days), path, RUN_DATE)
+    return _shown_facts(read_facts(spark, path))
+
+
+def run_batch_query(spark, sf):
+    """The whole job over a landing, run twice; the curated result read back."""
+    path = shared_folder(spark)
+    _landed(raw_hits(spark, sf), f"{path}/landing", "parquet")
+    for _ in range(2):
+        curated = run_batch(
+            spark, f"{path}/landing", f"{path}/curated", staging=f"{path}/staging",
+            tables=f"{path}/tables", run_date=RUN_DATE, interval=STAGING_INTERVAL, tie=TIE,
+            now=datetime(2024, 1, 2, 12, tzinfo=timezone.utc),
+        )
+    insights = read_insights(spark, f"{path}/tables").agg(F.count(F.lit(1)).alias("n")).scalar()
+    staged = read_staging(spark, f"{path}/staging").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return spark.read.parquet(curated).select(
+        "*", insights.alias("insights"), staged.alias("staged")
+    )
 
 
 def _facts(spark, sf):
-    return _dated_totals(spark, sf).select(
+    return _as_facts(_dated_totals(spark, sf))
+
+
+def _as_facts(days: DataFrame) -> DataFrame:
+    return days.select(
         col("dt").cast("date").alias("event_date"),
         col("engine_domain").alias("search_engine_domain"),
         col("keyword").alias("search_keyword"),
-        F.round("revenue", 2).cast("decimal(18,2)").alias("total_revenue"),
+        col("revenue").cast("decimal(18,2)").alias("total_revenue"),
     )
 
 
 def fact_replace(spark, sf):
-    new = to_facts(_cents(_totals(spark, sf), "revenue"), RUN_DATE)
-    return replace_date(_facts(spark, sf), new, RUN_DATE).select(
+    days = settle(_dated_totals(spark, sf))
+    new = to_facts(keyword_totals(days), RUN_DATE)
+    return _shown_facts(replace_date(_as_facts(days), new, RUN_DATE))
+
+
+def _shown_facts(facts: DataFrame) -> DataFrame:
+    return facts.select(
         col("event_date").cast("string").alias("event_date"), "search_engine_domain",
         "search_keyword", col("total_revenue").cast("double").alias("total_revenue"),
     )
@@ -528,19 +720,27 @@ def fact_replace(spark, sf):
 
 def check_sinks_query(spark, sf):
     now = F.lit(RUN_TIME).cast("timestamp")
-    return check_sinks(_facts(spark, sf), _insight_rows(spark, sf), RUN_DATE, now)
+    sales = settle(_sales(spark, sf))
+    days = keyword_totals(with_time_partition(sales), by=["dt"])
+    return check_sinks(_as_facts(days), _as_insights(sales), RUN_DATE, now)
 
 
 # Sinks.
 
 
 def object_partition(spark, sf):
-    hits = _filed_hits(spark, sf)
-    sales = attributed_purchases(hits, tie=TIE, scope="file")
-    totals = keyword_totals(sales, by=[SOURCE_FILE])
+    hits, totals = _file_totals(spark, sf)
     return _cents(with_object_partition(totals, hits), "revenue")
 
 
+def _file_totals(spark, sf):
+    """Hits of one scan, cut to what is needed, and their totals per file."""
+    needed = [SOURCE_FILE, "event_id", "hit_ts", *TEXT_COLUMNS]
+    hits = settle(_filed_hits(spark, sf).select(*needed))
+    sales = attributed_purchases(hits, tie=TIE, scope="file")
+    return hits, keyword_totals(sales, by=[SOURCE_FILE])
+
+
 def write_curated_query(spark, sf):
     path = write_curated(_totals(spark, sf), shared_folder(spark), RUN_DATE, files=3)
     return spark.read.parquet(path)
@@ -561,9 +761,9 @@ def write_tab_query(spark, sf):
 
 def write_object_curated_query(spark, sf):
     path = shared_folder(spark)
-    hits = _filed_hits(spark, sf)
-    sales = attributed_purchases(hits, tie=TIE, scope="file")
-    write_object_curated(keyword_totals(sales, by=[SOURCE_FILE]), hits, path, RUN_DATE)
+    hits, totals = _file_totals(spark, sf)
+    for _ in range(2):  # again: the objects' folders are replaced
+        write_object_curated(totals, hits, path, RUN_DATE)
     return spark.read.parquet(path)
 
 
@@ -585,6 +785,11 @@ QUERIES = {
     "tsv_to_parquet": tsv_to_parquet,
     "scan_pruned": scan_pruned,
     "scan_mixed": scan_mixed,
+    "scan_mixed_names": scan_mixed_names,
+    "scan_schemas": scan_schemas,
+    "scan_staged": scan_staged,
+    "staging_reruns": staging_reruns,
+    "stream_same_names": stream_same_names,
     "read_curated": read_curated_query,
     "read_history": read_history_query,
     "stream_ingest": stream_ingest,
@@ -617,6 +822,7 @@ QUERIES = {
     "product_revenue": product_revenue,
     "last_touch": last_touch,
     "last_touch_masked": last_touch_masked,
+    "last_touch_hot": last_touch_hot,
     "last_touch_by_file": last_touch_by_file,
     "report_kpis": report_kpis,
     "top_keywords": top_keywords,
@@ -630,6 +836,11 @@ QUERIES = {
     "chart_series": chart_series,
     "report_row": report_row,
     "report_json": report_json,
+    "report_rows": report_rows,
+    "write_report_json": write_report_json,
+    "sync_insights": sync_insights_query,
+    "sync_facts": sync_facts_query,
+    "run_batch": run_batch_query,
     "insight_dedupe": insight_dedupe,
     "insight_upsert": insight_upsert,
     "fact_replace": fact_replace,

@@ -1,12 +1,15 @@
-"""Session settings."""
+"""Session settings, and the folder for what several jobs share."""
 
-import tempfile
+import atexit
+import re
 import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+FOLDER = "touchline"
+
 
 def tune(spark: SparkSession, large: bool = False, shuffle_partitions: int = 200) -> SparkSession:
     """UTC labels and text partition values; `large` adds the profile for big shuffles."""
@@ -26,12 +29,50 @@ def tune(spark: SparkSession, large: bool = False, shuffle_partitions: int = 200
     return spark
 
 
+def shared_root(settings, master: str) -> str:
+    """The folder of spark.checkpoint.dir, else one below the warehouse, which a cluster shares.
+
+    A local warehouse is shared only where driver and executors are one process.
+    """
+    root = settings("spark.checkpoint.dir")
+    if root:
+        return root.rstrip("/")
+    warehouse = settings("spark.sql.warehouse.dir") or ""
+    is_local_path = re.match(r"(?:file:|/|[A-Za-z]:[\\/]|[^:]*\Z)", warehouse) is not None
+    if is_local_path and not re.fullmatch(r"local(?:\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/{FOLDER}-shared"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    root = shared_root(lambda key: spark.conf.get(key, None), spark.sparkContext.master)
+    return f"{root}/{spark.sparkContext.applicationId}"
+
+
+_REGISTERED: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one the cluster shares; a local one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="touchline-")
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    """A new folder that all executors see; it goes when the application ends, if not before."""
+    folder = _application_folder(spark)
+    if folder not in _REGISTERED:
+        _REGISTERED.add(folder)
+        atexit.register(remove_folder, spark, folder)
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there; does nothing once the session has ended."""
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Delete all that this application has written to the shared folder."""
+    remove_folder(spark, _application_folder(spark))
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -39,10 +80,25 @@ def settle(df: DataFrame) -> DataFrame:
 
     Survives the loss of executors, unlike a cache, and ends the lineage.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark)
+    return _written(df, shared_folder(df.sparkSession))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled(df: DataFrame, enabled: bool = True):
+    """The same while the block runs; the files go with it."""
+    if not enabled:
+        yield df
+        return
+    path = shared_folder(df.sparkSession)
+    try:
+        yield _written(df, path)
+    finally:
+        remove_folder(df.sparkSession, path)
 
 
 @contextmanager

@@ -1,5 +1,6 @@
 """Writing hits and results to files."""
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -8,9 +9,12 @@ from pyspark.sql import functions as F
 from touchline.fixed_values import CURATED_NAMES, CURATED_SUFFIX
 from touchline.functions.privacy import mask_pii
 from touchline.operators.attribution import SOURCE_FILE
+from touchline.functions.money import cents
 from touchline.operators.normalize import earliest_partition, with_time_partition
 from touchline.operators.revenue import to_display
-from touchline.sources.layers import PARTITION_COLUMNS, curated_path
+from touchline.session import remove_folder, settle
+from touchline.sources.folders import matching
+from touchline.sources.layers import PARTITION_COLUMNS, SLICE_COLUMN, curated_path
 
 
 def utc_today() -> str:
@@ -49,7 +53,7 @@ def write_tab(
     text = _ranged(df, files).select(
         F.col("engine_domain").alias(engine),
         F.col("keyword").alias(keyword),
-        F.format_string("%.2f", F.bround("revenue", 2)).alias(revenue),
+        F.format_string("%.2f", F.bround("revenue", 2).cast("double")).alias(revenue),
     )
     (
         text.write.mode("overwrite").option("header", "true").option("sep", "\t")
@@ -69,17 +73,29 @@ def rebalanced(df: DataFrame, columns: list[str], parts: int = 0) -> DataFrame:
 
 
 def write_staging(
-    hits: DataFrame, path: str, interval=None, n: int = 0, mask: bool = True
+    hits: DataFrame, path: str, interval=None, n: int = 0, mask: bool = True, source: str = ""
 ) -> None:
-    """Hits under dt / hour / minute of their own time; other partitions stay as they are."""
+    """Hits under dt / hour / minute of their own time, and below that by the slice they are from.
+
+    `source` names what was read, such as the landing path. Writing a source again replaces its
+    own rows, wherever they were, and no others: a late row of another slice adds to its hour.
+    """
     if n < 0:
         raise ValueError("n must not be negative")
-    staged = mask_pii(with_time_partition(hits, interval).drop("event_ts"), mask)
+    spark = hits.sparkSession
+    label = hashlib.sha256(source.encode()).hexdigest()[:16]
+    columns = [*PARTITION_COLUMNS, SLICE_COLUMN]
+    staged = mask_pii(with_time_partition(hits, interval).drop("event_ts", SLICE_COLUMN), mask)
+    own = "/".join([path.rstrip("/"), *(f"{c}=*" for c in PARTITION_COLUMNS), f"{SLICE_COLUMN}={label}"])
+    before = set(matching(spark, f"{own}/part-*"))
     (
-        rebalanced(staged, PARTITION_COLUMNS, n)
+        rebalanced(staged.withColumn(SLICE_COLUMN, F.lit(label)), PARTITION_COLUMNS, n)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS).parquet(path)
+        .partitionBy(*columns).parquet(path)
     )
+    # The write replaced the folders it has rows for; the source's other ones are out of date.
+    for stale in {f.rpartition("/")[0] for f in before.intersection(matching(spark, f"{own}/part-*"))}:
+        remove_folder(spark, stale)
 
 
 def object_stem(path: Column) -> Column:
@@ -88,6 +104,11 @@ def object_stem(path: Column) -> Column:
     return F.regexp_replace(name, r"(?<=.)\.[^.]*\z", "")
 
 
+def object_label(path: Column) -> Column:
+    """Tells objects apart that share a name: a digest of the whole path."""
+    return F.substring(F.sha2(path, 256), 1, 16)
+
+
 def with_object_partition(results: DataFrame, hits: DataFrame, interval=None) -> DataFrame:
     """Attach to each result row the earliest partition of the object it came from.
 
@@ -98,28 +119,49 @@ def with_object_partition(results: DataFrame, hits: DataFrame, interval=None) ->
     return results.join(first, SOURCE_FILE)
 
 
+OBJECT_LIST = "_objects"
+_OBJECTS = "label string, folder string"
+
+
 def write_object_curated(
     results: DataFrame, hits: DataFrame, root: str, run_date: str | None = None,
     partitioned: bool = True, interval=None,
 ) -> None:
     """One folder per input object, below its earliest partition unless `partitioned` is off.
 
-    `results` has source_file, engine_domain, keyword and revenue. Writing an object again
-    replaces its folder only.
+    `results` has source_file, engine_domain, keyword and revenue; `hits` has every hit of the
+    objects. A list below the root says which folders an object has been written to. Writing an
+    object again leaves it with the new folder only, or none if it has no revenue any more, even
+    if its earliest time or the run date is another one.
     """
+    spark, root = results.sparkSession, root.rstrip("/")
     folders = [*(PARTITION_COLUMNS if partitioned else []), "output"]
-    placed = with_object_partition(results, hits, interval) if partitioned else results
+    objects = earliest_partition(hits, by=[SOURCE_FILE], interval=interval).drop("min_hit_ts")
     suffix = f"_{run_date or utc_today()}_{CURATED_SUFFIX}"
-    output = F.concat(object_stem(F.col(SOURCE_FILE)), F.lit(suffix))
-    named = placed.withColumn("output", output).select(
+    label = object_label(F.col(SOURCE_FILE))
+    output = F.concat(object_stem(F.col(SOURCE_FILE)), F.lit("_"), label, F.lit(suffix))
+    objects = settle(objects.withColumns({"label": label, "output": output}))
+    named = results.join(objects, SOURCE_FILE).select(
         F.col("engine_domain").alias(CURATED_NAMES["engine_domain"]),
         F.col("keyword").alias(CURATED_NAMES["keyword"]),
-        F.round("revenue", 2).alias(CURATED_NAMES["revenue"]),
+        cents(F.col("revenue")).alias(CURATED_NAMES["revenue"]),
         *folders,
     )
+    named = settle(named)
     (
         rebalanced(named, folders)
         .sortWithinPartitions(*folders, F.desc(CURATED_NAMES["revenue"]))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders).parquet(root)
     )
+    filled = named.select(*folders).distinct()
+    placed = objects.select("label", *folders)
+    folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), c) for c in folders))
+    now = settle(placed.join(filled, folders).select("label", folder.alias("folder")))
+    known = f"{root}/{OBJECT_LIST}"
+    if matching(spark, f"{known}/part-*"):
+        earlier = spark.read.schema(_OBJECTS).parquet(known).join(placed.select("label"), "label", "left_semi")
+        # Folders to give up: those of this write's objects that it did not fill.
+        for row in earlier.select("folder").distinct().join(now, "folder", "left_anti").toLocalIterator():
+            remove_folder(spark, f"{root}/{row['folder']}")
+    now.write.mode("append").parquet(known)

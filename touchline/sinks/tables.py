@@ -2,7 +2,6 @@
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,8 @@ from touchline.operators.tables import (
     to_facts,
     upsert_insights,
 )
+from touchline.session import remove_folder
+from touchline.sources.folders import matching
 
 
 def table_path(root: str, name: str) -> str:
@@ -35,27 +36,35 @@ def read_facts(spark: SparkSession, root: str, table: str = FACT_TABLE) -> DataF
     return spark.read.schema(FACT_SCHEMA).parquet(table_path(root, table))
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions, oldest first; found by name."""
+    done = matching(spark, f"{path}/version=*/_SUCCESS")
+    return sorted(int(p.split("/")[-2].removeprefix("version=")) for p in done)
+
+
 def read_insights(spark: SparkSession, root: str, table: str = INSIGHT_TABLE) -> DataFrame:
     """The newest version of the insights, none if there is no table yet."""
-    try:
-        versions = spark.read.schema(f"{INSIGHT_SCHEMA}, version string").parquet(
-            table_path(root, table)
-        )
-    except AnalysisException:
+    path = table_path(root, table)
+    versions = _versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], INSIGHT_SCHEMA)
-    newest = versions.agg(F.max("version").alias("v")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    return spark.read.schema(INSIGHT_SCHEMA).parquet(f"{path}/version={versions[-1]}")
 
 
 def sync_insights(
     totals: DataFrame, root: str, now: datetime | None = None, table: str = INSIGHT_TABLE
 ) -> None:
-    """Update or insert the scores; written as a new version beside the one being read."""
-    spark = totals.sparkSession
+    """Update or insert the scores; written as a new version beside the one being read.
+
+    The version before stays for those who read it just now; older ones are removed.
+    """
+    spark, path = totals.sparkSession, table_path(root, table)
     moment = now or datetime.now(timezone.utc)
-    version = moment.strftime("%Y%m%dT%H%M%S%f")
     merged = upsert_insights(
         read_insights(spark, root, table), totals,
         F.timestamp_micros(F.lit(int(moment.timestamp()) * 1_000_000 + moment.microsecond)),
     )
-    merged.write.parquet(f"{table_path(root, table)}/version={version}")
+    before = _versions(spark, path)
+    merged.write.mode("overwrite").parquet(f"{path}/version={before[-1] + 1 if before else 1}")
+    for old in before[:-1]:
+        remove_folder(spark, f"{path}/version={old}")

@@ -1,5 +1,8 @@
 """Reading landed hits."""
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,9 +10,12 @@ from touchline.functions.clock import resolve_interval, valid_minute_buckets
 from touchline.functions.text import strip, text_or_empty
 from touchline.operators.attribution import SOURCE_BLOCK, SOURCE_FILE, SOURCE_ROW
 from touchline.operators.normalize import normalize_columns, normalize_hits, require_hit_columns
+from touchline.sources.folders import files_below, first_bytes
 
 FORMATS = ("parquet", "tsv", "auto")
-TEXT_FILES = "*.{tsv,tab,txt,csv}*"
+_TEXT_NAME = re.compile(r"\.(?:tsv|tab|txt|csv)(?:\.(?:gz|bz2|zst|lz4|snappy|deflate))?\Z", re.I)
+_LOOKS = 16  # files whose header or footer is looked at side by side
+_PROVENANCE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)
 
 
 def scan_path(base: str, dt=None, hour=None, minute=None, interval=None) -> str:
@@ -30,19 +36,60 @@ def scan_path(base: str, dt=None, hour=None, minute=None, interval=None) -> str:
     return path
 
 
-def parquet_rows(spark: SparkSession, *paths: str) -> DataFrame:
-    """Rows of the Parquet files below the paths, with the place each row came from."""
-    return (
-        spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        .parquet(*paths)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias(SOURCE_FILE),
-            F.col("_metadata.row_index").alias(SOURCE_ROW),
-        )
+def _placed(df: DataFrame, place: dict) -> DataFrame:
+    """Add where each row came from; rows that bring it along, as staged ones do, keep theirs."""
+    own = {c.lower(): c for c in df.columns}
+    others = [c for c in df.columns if c.lower() not in _PROVENANCE]
+    return df.select(
+        *others,
+        *(
+            (F.coalesce(F.col(own[name]), value) if name in own else value).alias(name)
+            for name, value in place.items()
+        ),
+        *(own[name] for name in own if name in _PROVENANCE and name not in place),
     )
 
 
+def _one_schema(spark: SparkSession, *paths: str, glob: str = "*") -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    return _placed(
+        reader.option("pathGlobFilter", glob).parquet(*paths),
+        {SOURCE_FILE: F.col("_metadata.file_path"), SOURCE_ROW: F.col("_metadata.row_index")},
+    )
+
+
+def _parquet_groups(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """Frames of Parquet files; one if their columns go together, else one per schema."""
+    try:
+        return [_one_schema(spark, *files)]
+    except Exception as error:  # the reader raises it in more than one class
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    groups: dict[tuple, list[str]] = {}
+
+    def schema(path: str) -> tuple:
+        return tuple(sorted((n.lower(), t) for n, t in spark.read.parquet(path).dtypes))
+
+    with ThreadPoolExecutor(_LOOKS) as pool:
+        for path, key in zip(files, pool.map(schema, files)):
+            groups.setdefault(key, []).append(path)
+    return [_one_schema(spark, *members) for members in groups.values()]
+
+
+def parquet_rows(spark: SparkSession, *paths: str) -> DataFrame:
+    """Rows of the Parquet files below the paths, with the place each row came from.
+
+    Files may lack columns or store them as other types; what differs in type becomes text.
+    """
+    try:
+        return normalize_columns(_one_schema(spark, *paths, glob="*.parquet"))
+    except Exception as error:  # the reader raises it in more than one class
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    files = [f for p in paths for f in files_below(spark, p) if f.lower().endswith(".parquet")]
+    return _unite([normalize_columns(df) for df in _parquet_groups(spark, files)])
+
+
 def tsv_rows(
     spark: SparkSession, *paths: str, recursive: bool = True, multiline: bool = False,
     glob: str | None = None,
@@ -59,23 +106,45 @@ def tsv_rows(
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(list(paths)).select(
-        "*",
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
-        # Ascending within a block; blocks are ordered by the column before.
-        F.monotonically_increasing_id().alias(SOURCE_ROW),
+    return _placed(
+        reader.csv(list(paths)),
+        {
+            SOURCE_FILE: F.col("_metadata.file_path"),
+            SOURCE_BLOCK: F.col("_metadata.file_block_start"),
+            # Ascending within a block; blocks are ordered by the column before.
+            SOURCE_ROW: F.monotonically_increasing_id(),
+        },
     )
 
 
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """By the last extension if it tells, else by the content: Parquet begins with PAR1."""
+    if path.lower().endswith(".parquet"):
+        return True
+    return not _TEXT_NAME.search(path) and first_bytes(spark, path, 4) == b"PAR1"
+
+
+def file_rows(spark: SparkSession, files: list[str], multiline: bool = False) -> DataFrame:
+    """Rows of files that need not agree in format, columns or column types; each is read once."""
+    with ThreadPoolExecutor(_LOOKS) as pool:
+        kinds = list(pool.map(lambda f: is_parquet(spark, f), files))
+        texts = [f for f, parquet in zip(files, kinds) if not parquet]
+        headers = list(pool.map(lambda f: tuple(tsv_rows(spark, f).columns), texts))
+    frames = []
+    if any(kinds):
+        frames += _parquet_groups(spark, [f for f, parquet in zip(files, kinds) if parquet])
+    for header in dict.fromkeys(headers):
+        members = [f for f, h in zip(texts, headers) if h == header]
+        frames.append(tsv_rows(spark, *members, multiline=multiline))
+    return _unite([require_hit_columns(normalize_columns(df)) for df in frames])
+
+
 def mixed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Parquet and tab-separated files side by side, told apart by their extension."""
-    return _unite(
-        [
-            normalize_columns(parquet_rows(spark, path)),
-            normalize_columns(tsv_rows(spark, path, multiline=multiline, glob=TEXT_FILES)),
-        ]
-    )
+    """Everything below a path, Parquet and tab-separated text side by side."""
+    files = files_below(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no files below {path}")
+    return file_rows(spark, files, multiline)
 
 
 def _unite(frames: list[DataFrame]) -> DataFrame:
@@ -111,27 +180,8 @@ def read_hits(
 
 
 def read_objects(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
-    """Hits of a few files that need not agree in format, columns or column types.
-
-    Looks into each file's header, so it is for one trigger's worth of files, not a landing.
-    """
-    groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        if path.lower().endswith(".parquet"):
-            schema = spark.read.parquet(path).dtypes
-            key = ("parquet", tuple(sorted((n.lower(), t) for n, t in schema)))
-        else:
-            header = spark.read.option("header", "true").option("sep", "\t").csv(path).columns
-            key = ("tsv", tuple(header))
-        groups.setdefault(key, []).append(path)
-    frames = []
-    for (fmt, _), members in groups.items():
-        rows = (
-            parquet_rows(spark, *members) if fmt == "parquet"
-            else tsv_rows(spark, *members, multiline=multiline)
-        )
-        frames.append(require_hit_columns(normalize_columns(rows)))
-    return normalize_hits(_unite(frames))
+    """Hits of given files, normalised."""
+    return normalize_hits(file_rows(spark, paths, multiline))
 
 
 def convert_tsv_to_parquet(spark: SparkSession, src: str, dst: str, mode: str = "error") -> None:

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.fixed_values import CURATED_NAMES, CURATED_SUFFIX
+from touchline.sources.folders import matching
 
 PARTITION_COLUMNS = ["dt", "hour", "minute"]
+SLICE_COLUMN = "slice"
 
 
 def curated_path(root: str, run_date: str) -> str:
@@ -19,7 +21,7 @@ def _report_names(df: DataFrame) -> DataFrame:
 
 
 def read_staging(spark: SparkSession, path: str, dt=None, hour=None, minute=None) -> DataFrame:
-    """Staged hits; the filters are on partition columns, so other folders are not read."""
+    """Staged hits of all slices; the filters are on partition columns, so other folders are not read."""
     df = spark.read.parquet(path)
     kinds = {f.name: f.dataType for f in df.schema}
     if any(kinds[c] != T.StringType() for c in PARTITION_COLUMNS):
@@ -32,7 +34,7 @@ def read_staging(spark: SparkSession, path: str, dt=None, hour=None, minute=None
     for name, value, width in zip(PARTITION_COLUMNS, (dt, hour, minute), (0, 2, 2)):
         if value is not None:
             df = df.where(F.col(name) == str(value).zfill(width))
-    return df
+    return df.drop(SLICE_COLUMN)
 
 
 def read_curated(spark: SparkSession, root: str, run_date: str) -> DataFrame:
@@ -40,6 +42,8 @@ def read_curated(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     try:
         df = spark.read.parquet(curated_path(root, run_date))
     except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no curated files for {run_date} under {root}") from error
     if df.isEmpty():
         raise ValueError(f"the curated files for {run_date} under {root} hold no rows")
@@ -54,12 +58,8 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def output_exists(spark: SparkSession, root: str, run_date: str) -> bool:
-    """Whether any file of the run date lies below the root; lists names, reads no content."""
-    try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select("path")
-        )
-    except AnalysisException:
-        return False
-    return not files.where(F.col("path").contains(f"{run_date}_{CURATED_SUFFIX}")).isEmpty()
+    """Whether a result of the run date lies below the root; looks at matching names only."""
+    name, root = f"*{run_date}_{CURATED_SUFFIX}*", root.rstrip("/")
+    below = "/".join(f"{c}=*" for c in PARTITION_COLUMNS)
+    folders = (f"{root}/{name}", f"{root}/{below}/{name}")
+    return any(matching(spark, f"{folder}/part-*") for folder in folders)
