@@ -103,7 +103,8 @@ _REPORT = f"{_RAW}{_TOTALS}{_DAYS}{_KPIS}{_TREND}{_CHANGE}"
 
 # One row of all the report rules look at.
 _METRICS = f"""{_REPORT},
-m AS (SELECT CAST(k.total AS DOUBLE) AS total, engines,
+m AS (SELECT *, CAST(five AS DOUBLE) / CAST(exact_total AS DOUBLE) * 100 AS top5 FROM (
+  SELECT CAST(k.total AS DOUBLE) AS total, engines,
     (SELECT keyword FROM ranked WHERE best = 1) AS top_k,
     (SELECT engine_domain FROM ranked WHERE best = 1) AS top_e,
     (SELECT CAST(revenue AS DOUBLE) FROM ranked WHERE best = 1) AS top_r,
@@ -111,8 +112,8 @@ m AS (SELECT CAST(k.total AS DOUBLE) AS total, engines,
     (SELECT CAST(max(r) AS DOUBLE) FROM eng) / CAST(k.total AS DOUBLE) * 100 AS eng_share,
     (SELECT change FROM pc) AS change,
     CASE WHEN n >= 5 THEN (SELECT sum(revenue) FROM ranked WHERE best <= 5) END AS five,
-    k.total AS exact_total, CAST(five AS DOUBLE) / CAST(k.total AS DOUBLE) * 100 AS top5
-  FROM kpis k)"""
+    k.total AS exact_total
+  FROM kpis k))"""
 
 _URLS = f"""
 hits AS ({DUCKDB_HITS}),
