@@ -66,7 +66,7 @@ KINDS = ("aside", "article", "other")
 EDGES = np.array([[0.001, 0.02], [0.5, 0.99], [0.02, 0.98]])
 START_NODES, COUNTED_NODES = 50, 200
 #: Where the weights start.
-START = np.array([-0.5, 3.0, -6.0, -6.0, 1.5, 1.0, 0.7, -0.3, -0.2, 0.0, 0.0, 0.15, -2.5, 0.5, -0.3])
+START = np.array([0.0, 3.0, -6.0, -6.0, 1.5, 1.0, 0.7, 0.2, 0.2, 0.0, 0.2, 0.15, -2.5, 0.5, -0.2])
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
