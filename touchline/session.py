@@ -3,7 +3,7 @@
 import atexit
 import re
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +57,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder = _application_folder(spark)
     if folder not in _REGISTERED:
         _REGISTERED.add(folder)
-        atexit.register(remove_folder, spark, folder)
+        atexit.register(_at_exit, spark, folder)
     return f"{folder}/{uuid.uuid4().hex}"
 
 
+def _at_exit(spark: SparkSession, folder: str) -> None:
+    with suppress(Exception):  # the session's process may have ended before this one
+        remove_folder(spark, folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder if it is there; does nothing once the session has ended."""
     context = spark.sparkContext
