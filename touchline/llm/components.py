@@ -1,8 +1,8 @@
 """Connected groups of nodes that share buckets and pass a test, without all pairs of a bucket.
 
 Two nodes may be linked only if some bucket holds both. Testing all pairs of a bucket would be
-quadratic in a group of copies, so each of STAR_ROUNDS rounds tests every member against one
-centre of its bucket and skips members that are connected to it already. The first centre is the
+quadratic in a group of copies, so each of STAR_ROUNDS rounds tests every node against one
+centre of its buckets, if it isn't connected to it already. The first centre is the
 member with the largest weight, the next ones are any.
 Pairs that are still in different components after that are tested one by one; pairs within a
 component need no test, since they can't change it. No possible link between components is left
@@ -41,14 +41,13 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def connect(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], compatible, links: DataFrame | None = None, enough=None) -> DataFrame:
+def connect(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], compatible, links: DataFrame | None = None) -> DataFrame:
     """node and root of all nodes in components, but roots; `links` are known beforehand.
 
     postings: bucket, node, size, weight (larger for nodes that are likely linked to many); must
     give the same rows each time it is read. compatible(x, y): a condition on two sizes, which may
-    tell of the bucket, too; a link must meet it in one bucket at least. enough(n, x, y): what must
-    hold if n buckets are all that two linked nodes share, by the largest size of either. verify:
-    of pairs a, b, those that are linked.
+    tell of the bucket, too; a link must meet it in one bucket at least. verify: of pairs a, b,
+    those that are linked.
     """
     roots = None if links is None else components(links)
     for number in range(STAR_ROUNDS + 1):
@@ -60,30 +59,23 @@ def connect(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], compa
             members = members.join(mixed, "bucket")
         if number < STAR_ROUNDS:
             weight = -F.col("weight") if number == 0 else F.lit(0)
-            chosen = F.struct(weight.alias("w"), F.xxhash64("node", F.lit(number)).alias("h"), "node", "size", "root")
-            others = members.groupBy("bucket").agg(F.min(chosen).alias("c")).select("bucket", "c.node", "c.size", "c.root")
+            chosen = F.struct(weight.alias("w"), F.xxhash64("node", F.lit(number)).alias("x"), "node", "size", "root")
+            others = members.groupBy("bucket").agg(F.min(chosen).alias("h")).select("bucket", "h", "h.node", "h.size", "h.root")
         else:
-            others = members
-        others = others.select("bucket", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
+            others = members.withColumn("h", F.lit(None))
+        others = others.select("bucket", "h", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
         first = F.col("node") < F.col("other")
         joined = members.join(others, "bucket").filter(F.col("root") != F.col("other_root"))
         if number < STAR_ROUNDS:
-            pairs = joined.filter(compatible(F.col("size"), F.col("other_size"))).select(
-                F.when(first, F.col("node")).otherwise(F.col("other")).alias("a"),
-                F.when(first, F.col("other")).otherwise(F.col("node")).alias("b"),
-            )
-            pairs = pairs.distinct()
+            # Each member tries one centre, the first of those that its buckets have.
+            tried = joined.filter(compatible(F.col("size"), F.col("other_size"))).groupBy("node")
+            pairs = tried.agg(F.min("h").alias("h")).select("node", F.col("h.node").alias("other"))
         else:
-            # All buckets that a pair of different components shares are here, so they can be counted.
-            counted = joined.filter(first).groupBy(F.col("node").alias("a"), F.col("other").alias("b"))
-            pairs = counted.agg(
-                F.count("*").alias("shared"), F.bool_or(compatible(F.col("size"), F.col("other_size"))).alias("fits"),
-                F.max("size").alias("size"), F.max("other_size").alias("other_size"),
-            )
-            pairs = pairs.filter("fits")
-            if enough:
-                pairs = pairs.filter(enough(F.col("shared"), F.col("size"), F.col("other_size")))
-            pairs = pairs.select("a", "b")
+            pairs = joined.filter(first & compatible(F.col("size"), F.col("other_size"))).select("node", "other")
+        pairs = pairs.select(
+            F.when(first, F.col("node")).otherwise(F.col("other")).alias("a"),
+            F.when(first, F.col("other")).otherwise(F.col("node")).alias("b"),
+        ).distinct()
         new = settle(verify(pairs).select("a", "b"))
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)

@@ -253,7 +253,17 @@ def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     segments = settle(_segments(documents, ids, n_words, similar).join(postings.select("node").distinct(), "node", "left_semi").dropDuplicates(["node", "fragment"]))
 
+    # Shortened bucket numbers may coincide: that counts a pair as sharing more, never less.
+    buckets = postings.groupBy("node").agg(
+        F.collect_set(F.col("bucket").bitwiseAND(0x7FFFFFFF).cast("int")).alias("buckets"), F.max("size").alias("size")
+    )
+    buckets = settle(buckets)
+
     def verify(pairs: DataFrame) -> DataFrame:
+        a = buckets.select(F.col("node").alias("a"), F.col("buckets").alias("of_a"), F.col("size").alias("x"))
+        b = buckets.select(F.col("node").alias("b"), F.col("buckets").alias("of_b"), F.col("size").alias("y"))
+        shared = F.size(F.array_intersect("of_a", "of_b"))
+        pairs = pairs.join(a, "a").join(b, "b").filter(enough(shared, F.col("x"), F.col("y"))).select("a", "b")
         a = segments.select(F.col("node").alias("a"), "fragment", F.col("size").alias("a_size"), F.col("shingles").alias("of_a"))
         b = segments.select(F.col("node").alias("b"), "fragment", F.col("size").alias("b_size"), F.col("shingles").alias("of_b"))
         cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
@@ -272,7 +282,7 @@ def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
         most = shared + F.greatest(x["rest"], y["rest"])
         return (100 + similar) * most >= similar * (x["shingles"] + y["shingles"])
 
-    roots = connect(postings, verify, compatible, enough=enough)
+    roots = connect(postings, verify, compatible)
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = grouped.join(smallest, "root").select("node", "component_id")
