@@ -280,8 +280,14 @@ def fit_tree_model(sources: list[str], steps: int = 300) -> TreeModel:
 
 
 def train(pages: DataFrame) -> TreeModel:
-    sample = pages.select("html", F.xxhash64("page_id", "html").alias("h")).filter("html IS NOT NULL").orderBy("h").limit(PAGES)
-    return fit_tree_model([r.html for r in sample.select("html").collect()])  # at most PAGES pages
+    """Fits the model to a sample: the pages with the smallest hashes of id and address."""
+    hashed = pages.select("html", F.xxhash64("page_id", "url").alias("h")).filter("html IS NOT NULL")
+    smallest = [r.h for r in hashed.select("h").orderBy("h").limit(PAGES).collect()]
+    if not smallest:
+        return fit_tree_model([])
+    # Only the sample's pages are sent, not those that each task would keep to sort.
+    sample = hashed.filter(F.col("h") <= smallest[-1]).select("html").limit(PAGES)
+    return fit_tree_model([r.html for r in sample.collect()])
 
 
 def extract_text(pages: DataFrame, model: TreeModel) -> DataFrame:
