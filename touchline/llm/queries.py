@@ -53,7 +53,7 @@ def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return fuzzy_lines.line_decisions(read_table(spark, sf, "documents"))
+    return fuzzy_lines.line_decisions(read_table(spark, sf, "documents"), word_keys=True)
 
 
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
