@@ -16,6 +16,9 @@ from touchline.llm import content_sort, decontaminate, ngram_join, packing, pu_t
 from touchline.llm.queries import read_table
 from touchline.session import settle
 
+#: Shingles and similarity in hundredths of the near_dedup stage; op1 has its own.
+NEAR_WORDS, NEAR_SIMILAR = 5, 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier calls toxic; it is trained on the stage's own input."""
@@ -28,8 +31,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group that n-gram Jaccard links connect."""
-    return ngram_join.drop_near_copies(docs)
+    """Keeps the smallest doc_id of each group that links of Jaccard NEAR_SIMILAR hundredths connect."""
+    return ngram_join.drop_near_copies(docs, n_words=NEAR_WORDS, similar=NEAR_SIMILAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
