@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import content_sort, decontaminate, fuzzy_lines, html_tree, license_scan, ngram_join, packing, pu_toxicity, rule_quality, token_orc
+from touchline.llm import (
+    content_sort,
+    conversation_repair,
+    decontaminate,
+    fuzzy_lines,
+    html_tree,
+    license_scan,
+    ngram_join,
+    packing,
+    ptolemaic,
+    pu_toxicity,
+    rule_quality,
+    target_ratio,
+    token_orc,
+)
 from touchline.session import settle, shared_folder
 
 #: Rows that Spark hands to Python at a time.
@@ -66,6 +80,20 @@ def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     return token_orc.token_digest(spark, path)
 
 
+def op11_target_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    documents = read_table(spark, sf, "documents")
+    return target_ratio.judge(documents, target_ratio.train(documents, read_table(spark, sf, "labels")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = conversation_repair.damage(read_table(spark, sf, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(rows))
+
+
+def op13_ptolemaic_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return ptolemaic.cluster(read_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
@@ -77,4 +105,7 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_decontamination": op9_decontamination,
     "op10_token_orc": op10_token_orc,
+    "op11_target_ratio": op11_target_ratio,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_ptolemaic_clusters": op13_ptolemaic_clusters,
 }
