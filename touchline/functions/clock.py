@@ -10,6 +10,7 @@ INTERVAL_CONF = "spark.touchline.partitionIntervalMinutes"
 
 # 9999-12-31T23:59:59Z: later seconds have no four-digit year, hence no label.
 LAST_LABELLED_SECOND = 253402300799
+DIGITS = r"^([0-9]+)\z"
 
 
 def resolve_interval(value=None, spark: SparkSession | None = None) -> int:
@@ -35,7 +36,7 @@ def valid_minute_buckets(interval=None) -> list[str]:
 
 def hit_ts(c: Column) -> Column:
     """Unix seconds as bigint; anything but plain digits (or digits too many) is 0."""
-    digits = F.regexp_extract(strip(c.cast("string")), r"^([0-9]+)\z", 1)
+    digits = F.regexp_extract(strip(c.cast("string")), DIGITS, 1)
     return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

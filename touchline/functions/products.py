@@ -12,7 +12,7 @@ PURCHASE_EVENT = "1"
 # A decimal number as price fields hold it; nan and infinity are no revenue.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-_LINE_REVENUE = (
+LINE_REVENUE = (
     rf"^[^;]*;[^;]*;[^;]*;{WHITESPACE_CLASS}*({_NUMBER}){WHITESPACE_CLASS}*(?:;|\z)"
 )
 
@@ -35,7 +35,7 @@ def has_products(products: Column) -> Column:
 
 def line_revenue(line: Column) -> Column:
     """Fourth field of one product; 0 where it is missing, blank or no number."""
-    number = F.regexp_replace(F.regexp_extract(line, _LINE_REVENUE, 1), "_", "")
+    number = F.regexp_replace(F.regexp_extract(line, LINE_REVENUE, 1), "_", "")
     value = number.try_cast("double")
     # The pattern lets 1e999 through, which is infinite as a double.
     return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(0.0))

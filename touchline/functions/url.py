@@ -13,22 +13,25 @@ from touchline.fixed_values import ENGINE_PARAMS
 from touchline.functions.text import WHITESPACE_CLASS, strip
 
 _NAMES = "|".join(ENGINE_PARAMS)
-_SLOTS = range(max(map(len, ENGINE_PARAMS.values())))
+SLOTS = range(max(map(len, ENGINE_PARAMS.values())))
 
 # Authority, without user info and port; brackets are for IPv6 addresses only.
-_HOST = (
+HOST = (
     rf"^{WHITESPACE_CLASS}*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?\[?"
     r"((?<=\[)[0-9A-Fa-f:.]+(?=\])"
     r"|(?<!\[)[^:\[\]/?#@]*(?=(?::[^\[\]/?#@]*)?(?:[/?#]|\z)))"
 )
-_QUERY = r"^[^?#]*\?([^#]*)"
+QUERY = r"^[^?#]*\?([^#]*)"
 
 # An engine name in the authority and a filled parameter: all that can be a search. A URL
 # with characters that clean_url removes passes too, so that it need not be cleaned first.
-_SEARCH_LIKE = rf"(?is)^[^/?#]*//[^/?#]*(?:{_NAMES})[^?#]*\?[^#]*=[^&#]|[\t\r\n]"
+SEARCH_LIKE = rf"(?is)^[^/?#]*//[^/?#]*(?:{_NAMES})[^?#]*\?[^#]*=[^&#]|[\t\r\n]"
 
 # The alternatives are tried in order, so the first listed engine wins, wherever it stands.
-_ENGINE = "(?s)^(?:" + "|".join(f".*?(?={n})" for n in ENGINE_PARAMS) + f")({_NAMES})"
+ENGINE = "(?s)^(?:" + "|".join(f".*?(?={n})" for n in ENGINE_PARAMS) + f")({_NAMES})"
+
+# The last two labels of a host, or all of a one-label host.
+DOMAIN = r"([^.]*\.[^.]*|^[^.]*)$"
 
 
 def clean_url(c: Column) -> Column:
@@ -44,11 +47,11 @@ def _unbroken(c: Column) -> Column:
 
 def is_search_like(url: Column) -> Column:
     """False only for URLs that cannot be a search with a keyword; a cheap first filter."""
-    return url.rlike(_SEARCH_LIKE)
+    return url.rlike(SEARCH_LIKE)
 
 
 def _host(cleaned: Column) -> Column:
-    return F.lower(F.regexp_extract(cleaned, _HOST, 1))
+    return F.lower(F.regexp_extract(cleaned, HOST, 1))
 
 
 def url_host(url: Column) -> Column:
@@ -58,7 +61,7 @@ def url_host(url: Column) -> Column:
 
 def url_query(url: Column) -> Column:
     """The query string, '' if there is none."""
-    return F.regexp_extract(clean_url(url), _QUERY, 1)
+    return F.regexp_extract(clean_url(url), QUERY, 1)
 
 
 def url_unescape(c: Column) -> Column:
@@ -85,7 +88,7 @@ def engine_of(host: Column, match: str = "substring") -> Column:
     match="label" asks for a whole label of the host instead.
     """
     if match == "substring":
-        return F.regexp_extract(host, _ENGINE, 1)
+        return F.regexp_extract(host, ENGINE, 1)
     if match == "label":
         names = F.array(*map(F.lit, ENGINE_PARAMS))
         found = F.array_intersect(names, F.split(host, r"\."))
@@ -95,7 +98,7 @@ def engine_of(host: Column, match: str = "substring") -> Column:
 
 def engine_domain(host: Column) -> Column:
     """The last two labels of the host, or all of a one-label host."""
-    return F.regexp_extract(host, r"([^.]*\.[^.]*|^[^.]*)$", 1)
+    return F.regexp_extract(host, DOMAIN, 1)
 
 
 def _letter(c: str) -> str:
@@ -104,7 +107,7 @@ def _letter(c: str) -> str:
     return f"(?:{c}|%{high}[{low}{low.upper()}])" if low.isalpha() else f"(?:{c}|%{high}{low})"
 
 
-def _slot_regex(slot: int) -> str:
+def slot_regex(slot: int) -> str:
     """Over 'engine?query': first filled value of the engine's parameter number `slot`."""
     engines: dict[str, list[str]] = {}
     for name, params in ENGINE_PARAMS.items():
@@ -120,7 +123,7 @@ def _slot_regex(slot: int) -> str:
 def _raw_keyword(engine: Column, query: Column, slot: int) -> Column:
     """Value as it stands in the URL, null for engines without that many parameters."""
     engines = [name for name, params in ENGINE_PARAMS.items() if slot < len(params)]
-    value = F.regexp_extract(F.concat(engine, F.lit("?"), query), _slot_regex(slot), 1)
+    value = F.regexp_extract(F.concat(engine, F.lit("?"), query), slot_regex(slot), 1)
     return F.when(engine.isin(engines), value)
 
 
@@ -130,7 +133,7 @@ def _keyword(raw: Column) -> Column:
 
 def search_keyword(engine: Column, query: Column) -> Column:
     """Keyword of a search URL: the first parameter whose first filled value is not blank."""
-    words = (_keyword(_raw_keyword(engine, query, slot)) for slot in _SLOTS)
+    words = (_keyword(_raw_keyword(engine, query, slot)) for slot in SLOTS)
     return F.coalesce(*(F.nullif(word, F.lit("")) for word in words))
 
 
@@ -141,11 +144,11 @@ def with_touch(df: DataFrame, referrer: str = "referrer", match: str = "substrin
     skip all of them.
     """
     c = F.col
-    words = [f"_word_{i}" for i in _SLOTS]
+    words = [f"_word_{i}" for i in SLOTS]
     return (
         # Blanks around the URL do no harm below, so only breaks within it are removed.
         df.withColumn("_url", F.when(is_search_like(c(referrer)), _unbroken(c(referrer))))
-        .withColumns({"_host": _host(c("_url")), "_query": F.regexp_extract("_url", _QUERY, 1)})
+        .withColumns({"_host": _host(c("_url")), "_query": F.regexp_extract("_url", QUERY, 1)})
         .withColumn("_engine", engine_of(c("_host"), match))
         .withColumns({w: _raw_keyword(c("_engine"), c("_query"), i) for i, w in enumerate(words)})
         .withColumns({w: _keyword(c(w)) for w in words})

@@ -43,8 +43,7 @@ def _minute(interval):
 _DT, _HOUR, _MINUTE = f"strftime({_TS}, '%Y-%m-%d')", f"strftime({_TS}, '%H')", _minute(15)
 
 # Hits with everything the operators derive from a single row.
-_BASE = f"""
-hits AS ({DUCKDB_HITS}),
+_DERIVED = f"""
 timed AS (
   SELECT *, concat('/landing/hits-', substr(date_time, 1, 10), '.tsv') AS source_file,
     CASE WHEN regexp_full_match(trim(hit_time_gmt), '[0-9]+')
@@ -59,6 +58,8 @@ timed AS (
     {_SALE} AS sale, {_REVENUE} AS rv
   FROM hits),
 base AS (SELECT *, {_DT} AS dt, {_HOUR} AS hour, {_MINUTE} AS minute FROM timed)"""
+_BASE = f"""
+hits AS ({DUCKDB_HITS}),{_DERIVED}"""
 
 
 def _touched(vid, keep="true", scope=""):
@@ -435,6 +436,20 @@ FROM ft JOIN fp USING (source_file)""",
   (SELECT coalesce(string_agg(text, '|' ORDER BY pos), '') FROM insights) AS insights,
   (SELECT coalesce(string_agg(text, '|' ORDER BY pos), '') FROM recommendations) AS recommendations
 FROM kpis""",
+    "sql_surface": f"WITH {_RAW} {_KEYWORD_ROWS}",
+    "sql_functions": f"""WITH {_URLS},{_DERIVED}
+SELECT b.event_id, h.host, {_ENGINE.replace("contains(host", "contains(h.host")} AS engine, k AS keyword,
+  {_RAW_VID} AS visitor, {_MASK_IP.format(ip='ip')} AS ip, {_MASK_UA} AS user_agent,
+  CASE WHEN concat(geo_city, geo_region, geo_country) <> '' THEN coalesce(nullif(geo_country, ''), 'unknown')
+    ELSE geo_country END AS geo_country,
+  CAST(round(CAST(rv AS DECIMAL(38, 6)), 2) AS DOUBLE) AS revenue,
+  list_contains(list_transform(string_split(event_list, ','), lambda z: trim(z)), '1') AS purchase,
+  hit_ts, dt, hour, {_minute(7)} AS minute
+FROM base b JOIN hosts h ON h.origin = 'hit' AND h.id = b.event_id""",
+    "sql_tables": f"""WITH {_RAW}{_TOTALS}
+SELECT engine_domain, count(*) AS keywords, CAST(round(sum(revenue), 2) AS DOUBLE) AS revenue, count(*) AS insights,
+  count(*) AS facts, CAST(sum(CAST(revenue AS DECIMAL(18, 2))) AS DOUBLE) AS fact_revenue
+FROM totals GROUP BY engine_domain""",
     "report_json": _JSON,
     "write_report_json": _JSON,
     "sync_facts": f"""WITH {_RAW}{_TOTALS}{_DAYS}

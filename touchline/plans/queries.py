@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline import catalog
 from touchline.fixed_values import CURATED_NAMES, CURATED_SUFFIX
 from touchline.functions import clock, privacy, products, url
 from touchline.functions.money import cents
@@ -725,6 +726,67 @@ def check_sinks_query(spark, sf):
     return check_sinks(_as_facts(days), _as_insights(sales), RUN_DATE, now)
 
 
+# SQL texts over the library's functions and views.
+
+_SQL_REVENUE = """
+WITH visits AS (
+  SELECT event_id, hit_ts, event_list, product_list, visitor_id(ip, user_agent) AS visitor,
+    parse_search_referrer(referrer) AS touch
+  FROM hits WHERE has_ip(ip)),
+led AS (
+  SELECT *, last_value(touch) IGNORE NULLS OVER (PARTITION BY visitor ORDER BY hit_ts, event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS source
+  FROM visits),
+sold AS (
+  SELECT source.engine_domain AS engine_domain, source.keyword AS keyword, product_revenue(product_list) AS revenue
+  FROM led WHERE source IS NOT NULL AND is_purchase(event_list))
+SELECT engine_domain, keyword, cents(sum(money(revenue))) AS revenue
+FROM sold WHERE revenue > 0 GROUP BY engine_domain, keyword
+"""
+
+_SQL_COLUMNS = """
+SELECT event_id, url_host(referrer) AS host, nullif(search_engine(url_host(referrer)), '') AS engine,
+  parse_search_referrer(referrer).keyword AS keyword, visitor_id(ip, user_agent) AS visitor,
+  mask_ip(ip) AS ip, mask_user_agent(user_agent) AS user_agent,
+  mask_location(geo_city, geo_region, geo_country).geo_country AS geo_country,
+  cents(money(product_revenue(product_list))) AS revenue, is_purchase(event_list) AS purchase,
+  hit_seconds(hit_time_gmt) AS hit_ts, day_label(event_time(hit_ts)) AS dt,
+  hour_label(event_time(hit_ts)) AS hour, minute_bucket(event_time(hit_ts), 7) AS minute
+FROM hits
+"""
+
+_SQL_TABLES = """
+SELECT t.engine_domain, count(*) AS keywords, cents(sum(t.revenue)) AS revenue,
+  count(i.keyword_id) AS insights, count(f.search_keyword) AS facts,
+  cents(sum(f.total_revenue)) AS fact_revenue
+FROM totals t
+LEFT JOIN insights i ON i.search_engine_domain = t.engine_domain AND i.search_keyword = t.keyword
+LEFT JOIN facts f ON f.search_engine_domain = t.engine_domain AND f.search_keyword = t.keyword
+GROUP BY t.engine_domain
+"""
+
+
+def sql_surface(spark, sf):
+    """Last-touch revenue as one SQL text."""
+    catalog.register(spark, event_hits(spark, sf), tie=TIE)
+    return spark.sql(_SQL_REVENUE)
+
+
+def sql_functions(spark, sf):
+    catalog.register(spark, event_hits(spark, sf), tie=TIE)
+    return spark.sql(_SQL_COLUMNS)
+
+
+def sql_tables(spark, sf):
+    """The stored tables beside the totals they were filled from."""
+    path = shared_folder(spark)
+    totals = settle(_totals(spark, sf))
+    sync_facts(totals, path, RUN_DATE)
+    sync_insights(totals, path, datetime(2024, 1, 2, 12, tzinfo=timezone.utc))
+    catalog.register(spark, event_hits(spark, sf), tables=path, tie=TIE)
+    return spark.sql(_SQL_TABLES)
+
+
 # Sinks.
 
 
@@ -851,6 +913,9 @@ QUERIES = {
     "write_tab": write_tab_query,
     "write_object_curated": write_object_curated_query,
     "late_rows": late_rows,
+    "sql_surface": sql_surface,
+    "sql_functions": sql_functions,
+    "sql_tables": sql_tables,
 }
 
 

@@ -33,7 +33,11 @@ def sync_facts(
 
 
 def read_facts(spark: SparkSession, root: str, table: str = FACT_TABLE) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(table_path(root, table))
+    """The facts of all dates, none if there is no table yet."""
+    path = table_path(root, table)
+    if not matching(spark, f"{path}/event_date=*"):
+        return spark.createDataFrame([], FACT_SCHEMA)
+    return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
