@@ -1,5 +1,6 @@
 """Names of files and folders, from whatever store the session reads; contents are not read."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -16,19 +17,17 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def files_below(spark: SparkSession, path: str) -> list[str]:
-    """All files below a folder (or the file itself) but hidden ones, with something in them."""
-    store, where = _store(spark, path)
-    if not store.exists(where):
-        raise FileNotFoundError(path)
-    root = len(store.makeQualified(where).toString())
-    found, listed = [], store.listFiles(where, True)
-    while listed.hasNext():
-        status = listed.next()
-        name = status.getPath().toString()
-        below = name[root:].strip("/").split("/")
-        if status.getLen() and not any(part[:1] in ("_", ".") for part in below):
-            found.append(name)
-    return sorted(found)
+    """All files below a folder (or the file itself) but hidden ones, with something in them.
+
+    Spark lists them, in tasks if there are many folders, and hands over all names at once.
+    """
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(path) from error
+    return sorted(r["path"] for r in found.where("length > 0").select("path").collect())
 
 
 def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:

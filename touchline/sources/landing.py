@@ -1,8 +1,5 @@
 """Reading landed hits."""
 
-import re
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +7,10 @@ from touchline.functions.clock import resolve_interval, valid_minute_buckets
 from touchline.functions.text import strip, text_or_empty
 from touchline.operators.attribution import SOURCE_BLOCK, SOURCE_FILE, SOURCE_ROW
 from touchline.operators.normalize import normalize_columns, normalize_hits, require_hit_columns
-from touchline.sources.folders import files_below, first_bytes
+from touchline.sources.discovery import PARQUET, TEXT, by_header, by_types, look_at
+from touchline.sources.folders import files_below
 
 FORMATS = ("parquet", "tsv", "auto")
-_TEXT_NAME = re.compile(r"\.(?:tsv|tab|txt|csv)(?:\.(?:gz|bz2|zst|lz4|snappy|deflate))?\Z", re.I)
-_LOOKS = 16  # files whose header or footer is looked at side by side
 _PROVENANCE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)
 
 
@@ -58,24 +54,6 @@ def _one_schema(spark: SparkSession, *paths: str, glob: str = "*") -> DataFrame:
     )
 
 
-def _parquet_groups(spark: SparkSession, files: list[str]) -> list[DataFrame]:
-    """Frames of Parquet files; one if their columns go together, else one per schema."""
-    try:
-        return [_one_schema(spark, *files)]
-    except Exception as error:  # the reader raises it in more than one class
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
-            raise
-    groups: dict[tuple, list[str]] = {}
-
-    def schema(path: str) -> tuple:
-        return tuple(sorted((n.lower(), t) for n, t in spark.read.parquet(path).dtypes))
-
-    with ThreadPoolExecutor(_LOOKS) as pool:
-        for path, key in zip(files, pool.map(schema, files)):
-            groups.setdefault(key, []).append(path)
-    return [_one_schema(spark, *members) for members in groups.values()]
-
-
 def parquet_rows(spark: SparkSession, *paths: str) -> DataFrame:
     """Rows of the Parquet files below the paths, with the place each row came from.
 
@@ -87,59 +65,82 @@ def parquet_rows(spark: SparkSession, *paths: str) -> DataFrame:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     files = [f for p in paths for f in files_below(spark, p) if f.lower().endswith(".parquet")]
-    return _unite([normalize_columns(df) for df in _parquet_groups(spark, files)])
+    groups = by_types(look_at(spark, files))
+    return _unite([normalize_columns(_one_schema(spark, *members)) for members in groups])
 
 
-def tsv_rows(
-    spark: SparkSession, *paths: str, recursive: bool = True, multiline: bool = False,
-    glob: str | None = None,
-) -> DataFrame:
-    """Rows of tab-separated files, all text, columns named by their header.
+# A line whose quoted cells all end on it. A cell is quoted if a quote is its first character.
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^\t]*+|[^"\t][^\t]*+|)'
+_CLOSED = rf"^{_CELL}(?:\t{_CELL})*+$"
 
-    A file with other columns than the first fails the read rather than shifting values.
+
+def with_open_cells(lines: DataFrame) -> DataFrame:
+    """Of files read as text, those with a line on which a quoted cell doesn't end; `file` each.
+
+    An aggregate over splits of the files. A record that goes over several lines begins with such
+    a line, so other files have none.
     """
+    quoted = lines.where(F.col("value").contains('"') & ~F.col("value").rlike(_CLOSED))
+    return quoted.select(F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def _tsv_reader(spark: SparkSession, multiline: bool, recursive: bool, glob: str | None):
     reader = (
         spark.read.option("header", "true").option("sep", "\t").option("quote", '"')
         .option("escape", '"').option("enforceSchema", "false")
         .option("multiLine", str(multiline).lower())
         .option("recursiveFileLookup", str(recursive).lower())
     )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return _placed(
-        reader.csv(list(paths)),
-        {
-            SOURCE_FILE: F.col("_metadata.file_path"),
-            SOURCE_BLOCK: F.col("_metadata.file_block_start"),
-            # Ascending within a block; blocks are ordered by the column before.
-            SOURCE_ROW: F.monotonically_increasing_id(),
-        },
-    )
-
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
-def is_parquet(spark: SparkSession, path: str) -> bool:
-    """By the last extension if it tells, else by the content: Parquet begins with PAR1."""
-    if path.lower().endswith(".parquet"):
-        return True
-    return not _TEXT_NAME.search(path) and first_bytes(spark, path, 4) == b"PAR1"
 
+def tsv_rows(
+    spark: SparkSession, *paths: str, recursive: bool = True, multiline: bool | None = None,
+    glob: str | None = None,
+) -> DataFrame:
+    """Rows of tab-separated files, all text, columns named by their header.
 
-def file_rows(spark: SparkSession, files: list[str], multiline: bool = False) -> DataFrame:
+    A file with other columns than the first fails the read rather than shifting values. By default
+    files are scanned for line breaks within quotes first; only files that may have some are read
+    whole by one task each, the others in splits. multiline=False takes every line for a row,
+    multiline=True reads every file whole, and neither scans.
+    """
+    broken: list[str] = []
+    if multiline is None:
+        lines = spark.read.option("recursiveFileLookup", str(recursive).lower())
+        lines = lines.option("pathGlobFilter", glob) if glob else lines
+        broken = sorted(r["file"] for r in with_open_cells(lines.text(list(paths))).collect())
+    place = {
+        SOURCE_FILE: F.col("_metadata.file_path"),
+        SOURCE_BLOCK: F.col("_metadata.file_block_start"),
+        # Ascending within a block; blocks are ordered by the column before.
+        SOURCE_ROW: F.monotonically_increasing_id(),
+    }
+    whole = _tsv_reader(spark, bool(multiline), recursive, glob).csv(list(paths))
+    if not broken:
+        return _placed(whole, place)
+    # A filter on the file's path prunes files before they are read.
+    apart = F.col("_metadata.file_path").isin(broken)
+    split = _placed(whole.where(~apart), place)
+    joined = _tsv_reader(spark, True, recursive, glob).csv(list(paths)).where(apart)
+    return split.unionByName(_placed(joined, place))
+
+
+def file_rows(
+    spark: SparkSession, files: list[str], multiline: bool | None = None
+) -> DataFrame:
     """Rows of files that need not agree in format, columns or column types; each is read once."""
-    with ThreadPoolExecutor(_LOOKS) as pool:
-        kinds = list(pool.map(lambda f: is_parquet(spark, f), files))
-        texts = [f for f, parquet in zip(files, kinds) if not parquet]
-        headers = list(pool.map(lambda f: tuple(tsv_rows(spark, f).columns), texts))
-    frames = []
-    if any(kinds):
-        frames += _parquet_groups(spark, [f for f, parquet in zip(files, kinds) if parquet])
-    for header in dict.fromkeys(headers):
-        members = [f for f, h in zip(texts, headers) if h == header]
+    looks = look_at(spark, files)
+    frames = [
+        _one_schema(spark, *members)
+        for members in by_types(look for look in looks if look.kind == PARQUET)
+    ]
+    for members in by_header(look for look in looks if look.kind == TEXT):
         frames.append(tsv_rows(spark, *members, multiline=multiline))
     return _unite([require_hit_columns(normalize_columns(df)) for df in frames])
 
 
-def mixed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def mixed_rows(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Everything below a path, Parquet and tab-separated text side by side."""
     files = files_below(spark, path)
     if not files:
@@ -163,7 +164,7 @@ def _unite(frames: list[DataFrame]) -> DataFrame:
 
 def read_hits(
     spark: SparkSession, path: str, fmt: str = "parquet", recursive: bool = True,
-    dt=None, hour=None, minute=None, interval=None, multiline: bool = False,
+    dt=None, hour=None, minute=None, interval=None, multiline: bool | None = None,
 ) -> DataFrame:
     """Landed hits, normalised, from everything below the path or from one partition of it."""
     if fmt not in FORMATS:
@@ -179,14 +180,16 @@ def read_hits(
     return normalize_hits(rows)
 
 
-def read_objects(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
+def read_objects(spark: SparkSession, paths: list[str], multiline: bool | None = None) -> DataFrame:
     """Hits of given files, normalised."""
     return normalize_hits(file_rows(spark, paths, multiline))
 
 
-def convert_tsv_to_parquet(spark: SparkSession, src: str, dst: str, mode: str = "error") -> None:
+def convert_tsv_to_parquet(
+    spark: SparkSession, src: str, dst: str, mode: str = "error", multiline: bool | None = None
+) -> None:
     """Tab-separated hits to landing Parquet: cells trimmed, times as bigint."""
-    rows = tsv_rows(spark, src)
+    rows = tsv_rows(spark, src, multiline=multiline)
     columns = [c for c in rows.columns if c not in (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)]
     if not columns:
         raise ValueError(f"no header row in {src}")
