@@ -96,11 +96,14 @@ def number_sorted(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     return numbered.drop("_id", "_range", "_start")
 
 
-def upsert_insights(existing: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+def upsert_insights(
+    existing: DataFrame, new: DataFrame, now: Column, highest: int | None = None
+) -> DataFrame:
     """Existing insights with the scores of `new` (engine_domain, keyword, revenue).
 
-    Known keys keep their id, new ones get the next ids; untouched rows keep their time. Both
-    sides are joined once; what the join gave is written, as it is read three times.
+    Known keys keep their id, new ones get the next ids after `highest`, the highest id given so
+    far; it is looked up in `existing` if it isn't known. Untouched rows keep their time. Both
+    sides are joined once; what the join gave is written, as it is read several times.
     """
     scores = new.select(
         F.col("engine_domain").alias(KEY[0]),
@@ -114,10 +117,11 @@ def upsert_insights(existing: DataFrame, new: DataFrame, now: Column) -> DataFra
         "keyword_id", *KEY, score.alias("revenue_impact_score"), time.alias("last_processed_at")
     )
     # Of the rows with one key the highest id is kept, so this is the highest of all.
-    highest = joined.agg(F.coalesce(F.max("keyword_id"), F.lit(0)).alias("n")).scalar()
+    looked_up = joined.agg(F.coalesce(F.max("keyword_id"), F.lit(0)).alias("n")).scalar()
+    last = looked_up if highest is None else F.lit(highest).cast("bigint")
     fresh = joined.where(F.col("keyword_id").isNull())
     inserted = number_rows(fresh, KEY, "_number").select(
-        (highest + F.col("_number")).alias("keyword_id"),
+        (last + F.col("_number")).alias("keyword_id"),
         *KEY,
         F.col("_score").alias("revenue_impact_score"),
         now.alias("last_processed_at"),
