@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from touchline.fixed_values import REQUIRED_HIT_COLUMNS
-from touchline.operators import carry
+from touchline.operators import attribution, carry
 from touchline.operators.attribution import attribute_last_touch, attributed_purchases
 from touchline.operators.normalize import normalize_columns, normalize_hits
 from touchline.plans.batch import search_revenue
@@ -151,6 +152,39 @@ def test_carry_equals_brute_force(spark, monkeypatch, seed):
         assert {r["row"]: r["last"] for r in got.collect()} == want
 
 
+def test_the_sketch_shuffles_no_row_per_key(spark, monkeypatch):
+    """Of many keys the hot ones are found, whatever the others, in a few rows per task."""
+    monkeypatch.setattr(carry, "SKETCH_ITEMS", 64)
+    written = {}
+    monkeypatch.setattr(carry, "settle", lambda df: written.setdefault("df", df))
+    ids = spark.range(0, 200_000, 1, 8)
+    key = F.when(F.col("id") % 4 == 0, F.lit("a")).when(F.col("id") % 50 == 1, F.lit("b")).otherwise(F.col("id").cast("string"))
+    hot = carry.hot_keys(ids.select(key.alias("key")), ["key"], 2_000)
+    plan = written["df"]._jdf.queryExecution().executedPlan().toString()
+    want = {r[0] for r in spark.createDataFrame([("a",), ("b",)], "key string").select(F.xxhash64("key")).collect()}
+    assert {r["_key_hash"] for r in hot.collect()} == want
+    assert "partial_approx_top_k" in plan and plan.count("Exchange hashpartitioning") == 1
+    partial = ids.select(key.alias("key")).groupBy(F.spark_partition_id(), F.pmod(F.xxhash64("key"), F.lit(carry.SKETCHES))).count()
+    assert partial.count() <= 8 * carry.SKETCHES
+
+
+def test_hot_keys_are_looked_up_in_the_visitor_columns_only(spark, tmp_path, monkeypatch):
+    """The job before the plan reads ip and user_agent, and runs no pattern on the referrer."""
+    plans, look_up = [], attribution.hot_keys
+    hits_frame(spark, SAMPLE).write.parquet(str(tmp_path / "hits"))
+
+    def spy(df, keys, hot_rows):
+        keyed = df.select(F.xxhash64(*keys))
+        plans.append(keyed._jdf.queryExecution().executedPlan().toString())
+        return look_up(df, keys, hot_rows)
+
+    monkeypatch.setattr(attribution, "hot_keys", spy)
+    stored = spark.read.parquet(str(tmp_path / "hits"))
+    assert attributed_purchases(stored, tie=["row"]).count() == 3
+    assert re.search(r"ReadSchema: struct<(ip:string,user_agent|user_agent:string,ip):string>", plans[0])
+    assert "google" not in plans[0]
+
+
 def test_hot_keys_are_counted_exactly(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "key string")
     assert carry.hot_keys(df, ["key"], 4).count() == 1

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from touchline.session import settle
 
 HOT_ROWS = 1_000_000
+SKETCHES = 64
+SKETCH_ITEMS = 1024
 SECONDS_PER_SLICE = 3600
 POSITIONS_PER_SLICE = 1 << 20
 
@@ -26,15 +28,23 @@ def _key_hash(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys with more than `hot_rows` rows; runs a job.
-
-    There can be no more of them than rows / hot_rows; they stay a frame, and how it is joined
-    is left to adaptive execution, which knows its size. Two keys with one hash are merely both
-    taken for hot. Counting before the plan is built keeps that plan a single window where no
-    key is hot, and lets all its parts agree on the hot keys.
+    """Hashes of the keys with more than `hot_rows` rows, as far as a sketch tells; runs a job.
+
+    Each task keeps SKETCHES sketches of the most frequent hashes, each over its own share of all
+    hashes and of at most SKETCH_ITEMS of them, so what is shuffled doesn't grow with the number of
+    keys. A key of more than about 1 / SKETCH_ITEMS of its share's rows is always found; counts may
+    be a little too high or low. That is enough: which keys are taken for hot never changes a
+    result, only how its rows are spread. Two keys with one hash are merely both taken for hot.
+    The result stays a frame, and how it is joined is left to adaptive execution, which knows its
+    size. Looking before the plan is built keeps that plan a single window where no key is hot, and
+    lets all its parts agree on the hot keys.
     """
-    counts = df.groupBy(_key_hash(keys)).agg(F.count(F.lit(1)).alias("_rows"))
-    return settle(counts.where(F.col("_rows") > hot_rows).select(_HASH, F.lit(True).alias(_HOT)))
+    share = F.pmod(F.col(_HASH), F.lit(SKETCHES))
+    frequent = F.call_function("approx_top_k", F.col(_HASH), F.lit(SKETCH_ITEMS), F.lit(SKETCH_ITEMS))
+    sketched = df.select(_key_hash(keys)).groupBy(share).agg(frequent.alias("_top"))
+    counts = sketched.select(F.explode("_top").alias("_top"))
+    found = counts.where(F.col("_top.count") > hot_rows)
+    return settle(found.select(F.col("_top.item").alias(_HASH), F.lit(True).alias(_HOT)))
 
 
 def _position_run(df: DataFrame, ties: list[str]) -> Column:
