@@ -13,6 +13,7 @@ from touchline.functions.money import cents
 from touchline.operators.normalize import earliest_partition, with_time_partition
 from touchline.operators.revenue import to_display
 from touchline.session import remove_folder, settle
+from touchline.sinks.object_log import add_entry, compact, open_log
 from touchline.sources.folders import matching
 from touchline.sources.layers import PARTITION_COLUMNS, SLICE_COLUMN, curated_path
 
@@ -120,7 +121,6 @@ def with_object_partition(results: DataFrame, hits: DataFrame, interval=None) ->
 
 
 OBJECT_LIST = "_objects"
-_OBJECTS = "label string, folder string"
 
 
 def write_object_curated(
@@ -130,9 +130,9 @@ def write_object_curated(
     """One folder per input object, below its earliest partition unless `partitioned` is off.
 
     `results` has source_file, engine_domain, keyword and revenue; `hits` has every hit of the
-    objects. A list below the root says which folders an object has been written to. Writing an
+    objects. A log below the root says which folders an object has been written to. Writing an
     object again leaves it with the new folder only, or none if it has no revenue any more, even
-    if its earliest time or the run date is another one.
+    if its earliest time or the run date is another one, and also if a write of it failed before.
     """
     spark, root = results.sparkSession, root.rstrip("/")
     folders = [*(PARTITION_COLUMNS if partitioned else []), "output"]
@@ -148,20 +148,21 @@ def write_object_curated(
         *folders,
     )
     named = settle(named)
+    filled = named.select(*folders).distinct().withColumn("filled", F.lit(True))
+    folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), c) for c in folders))
+    placed = objects.select("label", *folders).join(filled, folders, "left")
+    now = settle(placed.select("label", F.when(F.col("filled"), folder).alias("folder")))
+    before = open_log(spark, f"{root}/{OBJECT_LIST}")
+    log = add_entry(before, now)
     (
         rebalanced(named, folders)
         .sortWithinPartitions(*folders, F.desc(CURATED_NAMES["revenue"]))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders).parquet(root)
     )
-    filled = named.select(*folders).distinct()
-    placed = objects.select("label", *folders)
-    folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), c) for c in folders))
-    now = settle(placed.join(filled, folders).select("label", folder.alias("folder")))
-    known = f"{root}/{OBJECT_LIST}"
-    if matching(spark, f"{known}/part-*"):
-        earlier = spark.read.schema(_OBJECTS).parquet(known).join(placed.select("label"), "label", "left_semi")
-        # Folders to give up: those of this write's objects that it did not fill.
-        for row in earlier.select("folder").distinct().join(now, "folder", "left_anti").toLocalIterator():
-            remove_folder(spark, f"{root}/{row['folder']}")
-    now.write.mode("append").parquet(known)
+    # Folders to give up: those of this write's objects that it did not fill. An object has had one
+    # folder at a time, so there are about as many as objects that moved.
+    earlier = before.rows().join(now.select("label"), "label", "left_semi").where(F.col("folder").isNotNull())
+    for row in earlier.select("folder").distinct().join(now, "folder", "left_anti").toLocalIterator():
+        remove_folder(spark, f"{root}/{row['folder']}")
+    compact(log)
