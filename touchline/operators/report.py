@@ -162,23 +162,49 @@ def top5_share(df: DataFrame) -> DataFrame:
     )
 
 
+# What grouping_id() says of each grouping set of _metrics.
+_OF_ROW, _OF_ENGINE, _OF_ALL = 0, 3, 7
+
+
 def _metrics(df: DataFrame, history: DataFrame | None) -> DataFrame:
-    """One row with all the insight rules look at."""
-    rows = _clean(df)
-    engines = engine_metrics(df)
-    top5 = top5_share(df).select("top5_revenue").scalar()
+    """One row with all the insight rules look at; reads df once.
+
+    Rows, sums by engine and the sum of all come from one aggregate with grouping sets. Of each the
+    best five are kept, first in every task and then of all; one more aggregate puts them in a row.
+    `engines` is 0, 1, or 2 for any more.
+    """
+    rows = _clean(df).withColumn("_row", F.monotonically_increasing_id())
+    keys = ["engine_domain", "keyword", "_row"]
+    sets = rows.groupingSets([keys, keys[:1], []], *keys).agg(
+        F.grouping_id().alias("_level"), F.sum("revenue").alias("revenue"),
+        F.min(F.col("engine_domain")).alias("_first"), F.max(F.col("engine_domain")).alias("_last"),
+    )
+    best = Window.partitionBy("_level").orderBy(*(by(c) for by, c in zip(_BEST_FIRST, _SORT)))
+    ranked = sets.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= 5)
+
+    def of(level: int, value: Column, places: int = 1) -> Column:
+        return F.when((F.col("_level") == level) & (F.col("_place") <= places), value)
+
+    revenue = F.col("revenue")
+    top = F.struct("keyword", F.col("engine_domain").alias("search_engine"), "revenue")
+    engine = F.struct(F.col("engine_domain").alias("engine"), revenue.alias("total_revenue"))
+    engines = F.when(F.col("_first") == F.col("_last"), 1).otherwise(2)
+    one = ranked.agg(
+        F.coalesce(F.max(of(_OF_ALL, revenue)), _nothing()).alias("total_revenue"),
+        F.coalesce(F.max(of(_OF_ALL, engines)), F.lit(0)).alias("engines"),
+        F.max(of(_OF_ROW, top)).alias("top"),
+        F.max(of(_OF_ENGINE, engine)).alias("engine"),
+        F.sum(of(_OF_ROW, revenue, 5)).alias("_five"),
+        F.count(of(_OF_ROW, revenue, 5)).alias("_rows"),
+    )
     change = F.lit(None).cast(f"struct<total_revenue:{MONEY},previous_revenue:{MONEY}>")
     if history is not None:
         change = period_change(revenue_trend(history)).select(
             F.struct("total_revenue", "previous_revenue")
         ).scalar()
-    return report_kpis(rows).select(
-        "total_revenue",
-        F.col("total_search_engines").alias("engines"),
-        top_keywords(df, 1).select(F.struct("*")).scalar().alias("top"),
-        engines.limit(1).select(F.struct("*")).scalar().alias("engine"),
-        change.alias("change"),
-        top5.alias("top5"),
+    return one.select(
+        "total_revenue", "engines", "top", "engine", change.alias("change"),
+        F.when(F.col("_rows") == 5, F.col("_five")).alias("top5"),
     )
 
 

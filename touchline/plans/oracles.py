@@ -436,6 +436,21 @@ FROM ft JOIN fp USING (source_file)""",
   (SELECT coalesce(string_agg(text, '|' ORDER BY pos), '') FROM insights) AS insights,
   (SELECT coalesce(string_agg(text, '|' ORDER BY pos), '') FROM recommendations) AS recommendations
 FROM kpis""",
+    "scan_tsv_line_breaks": (
+        f"WITH {_BASE} SELECT event_id, hit_ts, ip, event_list, product_list, referrer,"
+        " CASE WHEN event_id % 10 = 3 AND CAST(substr(date_time, 9, 2) AS INT) % 2 = 0"
+        " THEN concat(user_agent, chr(10), 'of two', chr(9), '\"lines\"') ELSE user_agent END AS user_agent FROM base"
+    ),
+    "read_history_range": (
+        f"WITH {_RAW}{_DAYS} SELECT dt AS date, engine_domain, keyword, CAST(round(revenue, 2) AS DOUBLE) AS revenue"
+        f" FROM days WHERE dt BETWEEN '{RUN_DATE}' AND '2024-01-20'"
+    ),
+    "revenue_trend_incremental": f"""WITH {_RAW}{_DAYS},
+rounded AS (SELECT dt, keyword, engine_domain, CAST(round(revenue, 2) AS DECIMAL(38, 6)) AS revenue FROM days),
+t AS (SELECT dt AS date, sum(revenue) AS r, count(DISTINCT keyword) AS kw, count(DISTINCT engine_domain) AS eg
+  FROM rounded GROUP BY ALL)
+SELECT date, CAST(round(r, 2) AS DOUBLE) AS total_revenue, kw AS unique_keywords, eg AS unique_search_engines,
+  {_mean('r', 'kw')} AS avg_revenue_per_keyword FROM t""",
     "sql_surface": f"WITH {_RAW} {_KEYWORD_ROWS}",
     "sql_functions": f"""WITH {_URLS},{_DERIVED}
 SELECT b.event_id, h.host, {_ENGINE.replace("contains(host", "contains(h.host")} AS engine, k AS keyword,

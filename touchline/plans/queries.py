@@ -1,6 +1,7 @@
 """The registered queries: one per operator, each over the whole of its tables."""
 
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ from touchline.sinks.files import (
     with_object_partition,
 )
 from touchline.sinks.tables import read_facts, read_insights, sync_facts, sync_insights
-from touchline.sources.folders import files_below, rename
+from touchline.sinks.trend import read_trend, update_trend
+from touchline.sources.folders import files_below, matching, rename
 from touchline.sources.landing import convert_tsv_to_parquet, read_hits
 from touchline.sources.layers import (
     output_exists,
@@ -141,6 +143,16 @@ def scan_hits_tsv(spark, sf):
     return _core(read_hits(spark, path, "tsv"))
 
 
+def scan_tsv_line_breaks(spark, sf):
+    """On every other day some user agents hold a line break, a tab and a quote."""
+    path = shared_folder(spark)
+    some = (col("event_id") % 10 == 3) & (F.substring("date_time", 9, 2).cast("int") % 2 == 0)
+    broken = F.concat("user_agent", F.lit('\nof two\t"lines"'))
+    hits = raw_hits(spark, sf).withColumn("user_agent", F.when(some, broken).otherwise(col("user_agent")))
+    _landed(hits, path, "tsv")
+    return _core(read_hits(spark, path, "tsv"))
+
+
 def tsv_to_parquet(spark, sf):
     path = shared_folder(spark)
     _landed(raw_hits(spark, sf), f"{path}/tsv", "tsv")
@@ -173,14 +185,21 @@ def read_curated_query(spark, sf):
     return read_curated(spark, path, RUN_DATE)
 
 
-def read_history_query(spark, sf):
-    path = shared_folder(spark)
+def _write_runs(days: DataFrame, path: str) -> None:
+    """Each day's totals as the curated result of that day."""
+    staged = f"{path}-runs-{uuid4().hex}"
     run = F.concat("dt", F.lit(f"_{CURATED_SUFFIX}")).alias("run")
-    days = _dated_totals(spark, sf)
     days.select("*", run).select(
         "run", *(cents(col(c)).alias(s) if c == "revenue" else col(c).alias(s)
                  for c, s in CURATED_NAMES.items())
-    ).write.partitionBy("run").parquet(path)
+    ).write.partitionBy("run").parquet(staged)
+    for folder in matching(days.sparkSession, f"{staged}/run=*"):
+        rename(days.sparkSession, folder, f"{path}/{folder.rpartition('run=')[2]}")
+
+
+def read_history_query(spark, sf):
+    path = shared_folder(spark)
+    _write_runs(_dated_totals(spark, sf), path)
     return read_history(spark, path)
 
 
@@ -537,6 +556,26 @@ def revenue_trend(spark, sf):
     return _report(report.revenue_trend(_history(spark, sf)))
 
 
+def revenue_trend_incremental(spark, sf):
+    """The stored trend after a first half of the days, some days more, and a day written again."""
+    path = shared_folder(spark)
+    root, store = f"{path}/curated", f"{path}/trend"
+    days = settle(_dated_totals(spark, sf))
+    day = F.substring("dt", 9, 2).cast("int")
+    _write_runs(days.where(day <= 15), root)
+    update_trend(spark, root, store)
+    _write_runs(days.where(day > 15), root)
+    write_curated(days.where(col("dt") == RUN_DATE).drop("dt"), root, RUN_DATE)
+    update_trend(spark, root, store)
+    return _report(read_trend(spark, store))
+
+
+def read_history_range(spark, sf):
+    path = shared_folder(spark)
+    _write_runs(_dated_totals(spark, sf), path)
+    return read_history(spark, path, since=RUN_DATE, until="2024-01-20")
+
+
 def period_change(spark, sf):
     return _report(report.period_change(report.revenue_trend(_history(spark, sf))))
 
@@ -913,6 +952,9 @@ QUERIES = {
     "write_tab": write_tab_query,
     "write_object_curated": write_object_curated_query,
     "late_rows": late_rows,
+    "revenue_trend_incremental": revenue_trend_incremental,
+    "read_history_range": read_history_range,
+    "scan_tsv_line_breaks": scan_tsv_line_breaks,
     "sql_surface": sql_surface,
     "sql_functions": sql_functions,
     "sql_tables": sql_tables,

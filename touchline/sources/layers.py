@@ -1,5 +1,7 @@
 """Reading what earlier runs wrote."""
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from touchline.fixed_values import CURATED_NAMES, CURATED_SUFFIX
 from touchline.sources.folders import matching
 
 PARTITION_COLUMNS = ["dt", "hour", "minute"]
+_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 SLICE_COLUMN = "slice"
 
 
@@ -50,9 +53,38 @@ def read_curated(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     return _report_names(df)
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """Keyword revenue of all runs, with the run date."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/*_{CURATED_SUFFIX}")
+HISTORY_SCHEMA = "date string, engine_domain string, keyword string, revenue double"
+
+
+def history_folders(
+    spark: SparkSession, root: str, since: str | None = None, until: str | None = None
+) -> dict[str, str]:
+    """Folder of each run date from `since` to `until`, both included; looks at names only."""
+    folders = {}
+    for folder in matching(spark, f"{root.rstrip('/')}/*_{CURATED_SUFFIX}"):
+        date = folder.rpartition("/")[2].removesuffix(f"_{CURATED_SUFFIX}")
+        if _DATE.fullmatch(date) and (since or date) <= date <= (until or date):
+            folders[date] = folder
+    return dict(sorted(folders.items()))
+
+
+def read_history(
+    spark: SparkSession, root: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Keyword revenue of all runs, with the run date; of some dates only, if a range is given.
+
+    Folders outside the range are never listed.
+    """
+    if since is None and until is None:
+        return read_runs(spark, [f"{root.rstrip('/')}/*_{CURATED_SUFFIX}"])
+    return read_runs(spark, list(history_folders(spark, root, since, until).values()))
+
+
+def read_runs(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Keyword revenue of given run folders, with the run date."""
+    if not folders:
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    df = spark.read.parquet(*folders)
     date = F.regexp_extract("_metadata.file_path", rf"(\d{{4}}-\d{{2}}-\d{{2}})_{CURATED_SUFFIX}", 1)
     return _report_names(df.select(date.alias("date"), *CURATED_NAMES.values()))
 
