@@ -1,3 +1,4 @@
+import uuid
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_attribution import SAMPLE, hits_frame
+from touchline import session
 from touchline.operators import tables
 from touchline.operators.checks import check_sinks, require_synced
 from touchline.operators.normalize import earliest_partition
@@ -378,3 +380,25 @@ def test_settled_and_persisted(spark):
     assert not kept.is_cached
     with persisted(df, enabled=False) as same:
         assert same is df
+
+
+def tables_below(folder):
+    return {str(p.parent) for p in Path(folder).rglob("part-*.parquet")}
+
+
+def test_scratch_leaves_what_is_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: f"{tmp_path}/{uuid.uuid4().hex}")
+    df = spark.range(5)
+    with session.scratch(spark):
+        session.settle(df)
+        with session.scratch(spark):
+            inner = session.settle(session.settle(df).where("id > 1"), keep=True)
+            assert len(tables_below(tmp_path)) == 3
+        assert len(tables_below(tmp_path)) == 2 and inner.count() == 3
+        outer = session.settle(inner.where("id > 2"), keep=True)
+    assert len(tables_below(tmp_path)) == 1 and outer.count() == 2
+    with pytest.raises(RuntimeError), session.scratch(spark):
+        session.settle(df)
+        raise RuntimeError
+    assert len(tables_below(tmp_path)) == 1
+    assert session.settle(df).count() == 5

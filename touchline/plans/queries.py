@@ -716,14 +716,15 @@ def sync_facts_query(spark, sf):
 
 
 def run_batch_query(spark, sf):
-    """The whole job over a landing, run twice; the curated result read back."""
+    """The whole job over a landing, run twice, the second time with the landing kept; the curated
+    result read back."""
     path = shared_folder(spark)
     _landed(raw_hits(spark, sf), f"{path}/landing", "parquet")
-    for _ in range(2):
+    for persist in (False, True):
         curated = run_batch(
             spark, f"{path}/landing", f"{path}/curated", staging=f"{path}/staging",
             tables=f"{path}/tables", run_date=RUN_DATE, interval=STAGING_INTERVAL, tie=TIE,
-            now=datetime(2024, 1, 2, 12, tzinfo=timezone.utc),
+            now=datetime(2024, 1, 2, 12, tzinfo=timezone.utc), persist=persist,
         )
     insights = read_insights(spark, f"{path}/tables").agg(F.count(F.lit(1)).alias("n")).scalar()
     staged = read_staging(spark, f"{path}/staging").agg(F.count(F.lit(1)).alias("n")).scalar()

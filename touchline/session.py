@@ -4,6 +4,7 @@ import atexit
 import re
 import uuid
 from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -80,12 +81,35 @@ def remove_shared(spark: SparkSession) -> None:
     remove_folder(spark, _application_folder(spark))
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Folders to remove at the end of each open scratch() block, the innermost last.
+_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
+
+
+def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write a frame that several consumers read to the shared folder and read it back.
 
-    Survives the loss of executors, unlike a cache, and ends the lineage.
+    Survives the loss of executors, unlike a cache, and ends the lineage. Within a scratch() block
+    the table goes with the block; `keep` leaves it to the block around that one, if any.
     """
-    return _written(df, shared_folder(df.sparkSession))
+    path = shared_folder(df.sparkSession)
+    blocks = _BLOCKS.get()[: -1 if keep else None]
+    if blocks:
+        blocks[-1].append(path)
+    return _written(df, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A block whose settled tables are removed at its end, once what it gives has been settled with
+    `keep`. Long jobs of many steps so hold on the disk only what later steps read."""
+    folders: list[str] = []
+    token = _BLOCKS.set((*_BLOCKS.get(), folders))
+    try:
+        yield
+    finally:
+        _BLOCKS.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
