@@ -408,6 +408,7 @@ FROM ft JOIN fp USING (source_file)""",
     "scan_mixed_names": _CORE,
     "scan_staged": _CORE,
     "staging_reruns": _CORE,
+    "staging_compacted": _CORE,
     "scan_schemas": (
         f"WITH {_BASE} SELECT event_id, hit_ts, ip, CASE WHEN hit_time_gmt = 'bad' THEN geo_city END"
         " AS geo_city, referrer FROM base"

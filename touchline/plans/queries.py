@@ -32,6 +32,7 @@ from touchline.operators.tables import dedupe_insights, replace_date, to_facts,
 from touchline.plans.batch import run_batch
 from touchline.plans.hits import TIE, event_hits, raw_hits
 from touchline.session import remove_folder, settle, shared_folder, tune
+from touchline.sinks.compaction import compact_staging
 from touchline.sinks.files import (
     write_curated,
     write_object_curated,
@@ -299,6 +300,20 @@ def staging_reruns(spark, sf):
     return _core(read_staging(spark, f"{path}/staging"))
 
 
+def staging_compacted(spark, sf):
+    """Nine slices that share hours, merged, one staged again, and merged once more."""
+    path = shared_folder(spark)
+    hits = settle(event_hits(spark, sf))
+    staged = f"{path}/staging"
+    for k in range(9):
+        part = hits.where(col("event_id") % 9 == k)
+        write_staging(part, staged, STAGING_INTERVAL, mask=False, source=f"slice {k}")
+    compact_staging(spark, staged)
+    write_staging(hits.where(col("event_id") % 9 == 4), staged, STAGING_INTERVAL, mask=False, source="slice 4")
+    compact_staging(spark, staged, least=2)
+    return _core(read_staging(spark, staged))
+
+
 # Normalisation.
 
 
@@ -955,6 +970,7 @@ QUERIES = {
     "late_rows": late_rows,
     "revenue_trend_incremental": revenue_trend_incremental,
     "read_history_range": read_history_range,
+    "staging_compacted": staging_compacted,
     "scan_tsv_line_breaks": scan_tsv_line_breaks,
     "sql_surface": sql_surface,
     "sql_functions": sql_functions,

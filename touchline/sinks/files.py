@@ -13,6 +13,7 @@ from touchline.functions.money import cents
 from touchline.operators.normalize import earliest_partition, with_time_partition
 from touchline.operators.revenue import to_display
 from touchline.session import remove_folder, settle
+from touchline.sinks.compaction import release_slice
 from touchline.sinks.object_log import add_entry, compact, open_log
 from touchline.sources.folders import matching
 from touchline.sources.layers import PARTITION_COLUMNS, SLICE_COLUMN, curated_path
@@ -97,6 +98,8 @@ def write_staging(
     # The write replaced the folders it has rows for; the source's other ones are out of date.
     for stale in {f.rpartition("/")[0] for f in before.intersection(matching(spark, f"{own}/part-*"))}:
         remove_folder(spark, stale)
+    # And where its rows had been merged with those of others.
+    release_slice(spark, path, label)
 
 
 def object_stem(path: Column) -> Column:

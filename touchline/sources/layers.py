@@ -23,21 +23,63 @@ def _report_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({shown: name for name, shown in CURATED_NAMES.items()})
 
 
-def read_staging(spark: SparkSession, path: str, dt=None, hour=None, minute=None) -> DataFrame:
-    """Staged hits of all slices; the filters are on partition columns, so other folders are not read."""
+MERGED = "merged-"
+MERGED_COLUMN = "merged_slice"
+MERGED_LIST = "_merged"
+_MERGED_ROWS = "dt string, hour string, minute string, label string, folder string"
+
+
+def merged_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete lists of merged slices, oldest first; found by name."""
+    done = matching(spark, f"{path.rstrip('/')}/{MERGED_LIST}/version=*/_SUCCESS")
+    return sorted(int(p.split("/")[-2].removeprefix("version=")) for p in done)
+
+
+def merged_slices(spark: SparkSession, path: str) -> DataFrame | None:
+    """Which folder holds a slice of an hour that was merged: dt, hour, minute, label, folder."""
+    versions = merged_versions(spark, path)
+    if not versions:
+        return None
+    return spark.read.schema(_MERGED_ROWS).parquet(f"{path.rstrip('/')}/{MERGED_LIST}/version={versions[-1]}")
+
+
+def staged_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All staged rows that count, with the slice that each is from, as `label`.
+
+    Of a slice that was merged with others the rows in the merged folder count, of any other slice
+    those in its own folder.
+    """
+    merged = merged_slices(spark, path)
     df = spark.read.parquet(path)
     kinds = {f.name: f.dataType for f in df.schema}
-    if any(kinds[c] != T.StringType() for c in PARTITION_COLUMNS):
-        # The session infers partition types: state them, or '06' would come back as 6.
-        fields = [
-            T.StructField(f.name, T.StringType()) if f.name in PARTITION_COLUMNS else f
-            for f in df.schema
-        ]
-        df = spark.read.schema(T.StructType(fields)).parquet(path)
+    fields = [f for f in df.schema.fields if f.name != MERGED_COLUMN]
+    partitions = [*PARTITION_COLUMNS, SLICE_COLUMN]
+    if merged is not None or any(kinds[c] != T.StringType() for c in PARTITION_COLUMNS):
+        # The session infers partition types: state them, or '06' would come back as 6. And only
+        # merged files have the column of slices.
+        fields = [T.StructField(f.name, T.StringType()) if f.name in partitions else f for f in fields]
+        first = [f for f in fields if f.name not in partitions]
+        last = [f for f in fields if f.name in partitions]
+        both = [*first, T.StructField(MERGED_COLUMN, T.StringType()), *last]
+        df = spark.read.schema(T.StructType(both)).parquet(path)
+    else:
+        df = df.withColumn(MERGED_COLUMN, F.lit(None).cast("string"))
+    df = df.withColumn("label", F.coalesce(MERGED_COLUMN, SLICE_COLUMN)).drop(MERGED_COLUMN)
+    if merged is None:
+        return df.where(~F.col(SLICE_COLUMN).startswith(MERGED))
+    # Few rows beside the hits; whether they are broadcast is left to their size.
+    joined = df.join(merged, [*PARTITION_COLUMNS, "label"], "left")
+    counts = F.coalesce(F.col("folder") == F.col(SLICE_COLUMN), ~F.col(SLICE_COLUMN).startswith(MERGED))
+    return joined.where(counts).select(*df.columns)
+
+
+def read_staging(spark: SparkSession, path: str, dt=None, hour=None, minute=None) -> DataFrame:
+    """Staged hits of all slices; the filters are on partition columns, so other folders are not read."""
+    df = staged_rows(spark, path)
     for name, value, width in zip(PARTITION_COLUMNS, (dt, hour, minute), (0, 2, 2)):
         if value is not None:
             df = df.where(F.col(name) == str(value).zfill(width))
-    return df.drop(SLICE_COLUMN)
+    return df.drop(SLICE_COLUMN, "label")
 
 
 def read_curated(spark: SparkSession, root: str, run_date: str) -> DataFrame:
