@@ -41,16 +41,31 @@ def components(n, links):
     return [find(x) for x in range(n)]
 
 
-def near_copies(docs, similar=85):
-    """(doc_id, n_shingles, component_id) of rows (doc_id, text), sorted."""
-    sets = [shingles(text) for _, text in docs]
+def near_components(docs, similar, n):
+    """Shingles of each row (doc_id, text), and the component that it is in."""
+    sets = [shingles(text, n) for _, text in docs]
     links = [
         (i, j)
         for i, x in enumerate(sets)
         for j in range(i)
         if x and sets[j] and 100 * len(x & sets[j]) >= similar * len(x | sets[j])
     ]
-    of = components(len(docs), links)
+    return sets, components(len(docs), links)
+
+
+def near_kept(docs, similar=85, n=4):
+    """The rows that stay where each component keeps its smallest doc_id; ids that a component has twice
+    must be of equal sets."""
+    sets, of = near_components(docs, similar, n)
+    first = {}
+    for (doc_id, _), c in sorted(zip(docs, of, strict=True), key=lambda r: (r[0][0] is None, r[0][0] or 0)):
+        first.setdefault(c, doc_id)
+    return [r for r, s, c in zip(docs, sets, of, strict=True) if not s or r[0] == first[c]]
+
+
+def near_copies(docs, similar=85, n=4):
+    """(doc_id, n_shingles, component_id) of rows (doc_id, text), sorted."""
+    sets, of = near_components(docs, similar, n)
     least = defaultdict(list)
     for (doc_id, _), c in zip(docs, of, strict=True):
         least[c].append(doc_id)

@@ -12,6 +12,7 @@ from brute import (
     license_phrases,
     lower,
     near_copies,
+    near_kept,
     token_rows,
 )
 from pyspark.sql import functions as F
@@ -108,9 +109,47 @@ def test_near_copies_with_small_fragments(table, docs, monkeypatch):
 
 
 def test_one_near_copy_stays(table, docs):
-    kept = rows(ngram_join.drop_near_copies(table).select("doc_id"))
-    want = sorted([(d,) for d, _, c in near_copies(docs) if d is None or d == c], key=repr)
-    assert kept == want
+    kept = rows(ngram_join.drop_near_copies(table).select("doc_id", "text"))
+    assert kept == sorted(near_kept(docs), key=repr)
+
+
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_texts_that_share_an_id_with_a_near_copy_stay(spark, monkeypatch, broadcast):
+    """Rows are decided one by one; columns named as the operator's own are carried."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    rng = random.Random(2)
+    first, other, third = prose(rng, 200), prose(rng, 50), prose(rng, 40)
+    docs = [(1, first), (5, first + " tail"), (5, other), (None, first), (None, third), (6, third), (7, None), (5, None), (None, "")]
+    names = ["doc_id", "text", "dropped_id", "node", "doc_id_", "Of_Text", "root", "first"]
+    table = spark.createDataFrame([(*r, *"abcdef") for r in docs], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    left = ngram_join.drop_near_copies(table)
+    assert left.columns == names
+    want = [(1, first), (5, other), (6, third), (7, None), (5, None), (None, "")]
+    assert rows(left) == sorted([(*r, *"abcdef") for r in want], key=repr) and near_kept(docs) == want
+
+
+def test_near_copies_without_ids_leave_one_text(spark):
+    rng = random.Random(3)
+    text = prose(rng, 100)
+    docs = [(None, text), (None, text + " x"), (None, text + " y")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert ngram_join.drop_near_copies(table).count() == 1
+    two = spark.createDataFrame([(3, text), (3, text + " x")], "doc_id long, text string")
+    assert ngram_join.drop_near_copies(two).count() == 1
+
+
+def test_parity_bits_differ_no_more_than_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 30, 1000, 20_000):
+        a, b = (rng.integers(0, 2**63, n).astype(np.uint64) for _ in range(2))
+        b[: n // 2] = a[: n // 2]
+        bits = ngram_join.parity_bits(np.unique(a)) ^ ngram_join.parity_bits(np.unique(b))
+        assert len(bits) == ngram_join.BITMAP
+        apart = len(np.setxor1d(a, b))
+        differ = sum(int(x).bit_count() for x in bits.view(np.uint64))
+        assert differ <= apart and (apart > 300 or differ >= 0.7 * apart)
 
 
 def test_near_copies_of_the_table(spark):

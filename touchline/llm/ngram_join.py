@@ -9,11 +9,14 @@ order. Three steps, each over fragments of the hash range, cut so that every fra
    the nodes of each of its shingles, and sends back how many of a node's shingles nobody else has,
    and the others with their counts.
 2. A node's parts are put together. If the first places of its order go to shingles that nobody
-   else has, it is linked to nothing; most nodes end here. Else its first ones are its buckets. Two
-   nodes are a pair only if what follows a common bucket in both orders could make them similar,
-   and if they share so many buckets that the rest could.
-3. For pairs that share a bucket, each fragment counts their overlap separately; the partial
-   counts are summed per pair and decide, exactly.
+   else has, it is linked to nothing; most nodes end here. Else its first ones are its buckets.
+   Buckets with the same nodes become one, in which a node has the earliest of its places. Two nodes
+   are a pair only if what follows a common bucket in both orders could make them similar, and if
+   their parity bitmaps allow it: a bit tells whether an even or odd number of a set's shingles fall
+   on it, so of any two sets no more bits differ than shingles do. Most pairs that are not similar
+   end here, before any set is moved.
+3. For pairs that are left, each fragment counts their overlap separately; the partial counts are
+   summed per pair and decide, exactly.
 
 Long sets (LONG shingles or more) only send the lower SHARE of the hash range to step 1: of any two
 similar sets, the parts below that bound differ by no more than the sets, so the same number of first
@@ -21,7 +24,8 @@ shingles suffices. Sets about as long as LONG, and those with too few shingles b
 all and get buckets of both kinds, so no pair is missed.
 
 A text has no words if null, empty or all white space; it has no set and is linked to nothing. Rows
-that share a doc_id are separate documents; a null doc_id is ignored when the smallest is taken.
+that share a doc_id are separate documents; a null doc_id is ignored when the smallest is taken. Of
+rows that share a doc_id and a set, all stay or none does.
 """
 
 import hashlib
@@ -30,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.llm.bytes_text import NONSPACE, find_words, mixed, shingle_sets, text_slices, word_hashes
 from touchline.llm.components import connect
@@ -44,8 +49,13 @@ SHARE = 0.3
 FRAGMENT = 2_000_000
 #: Fragments of step 3.
 PARTS = 8
+#: Words of 64 bits of a parity bitmap; and the fragment number under which a node's bitmap travels.
+BITMAP = 16
+_BITS = -1
 #: Ids of documents with buckets that are broadcast at most; with more, they are joined by shuffling.
 BROADCAST_IDS = 2_000_000
+#: Pairs whose nodes are broadcast at most.
+BROADCAST_PAIRS = 200_000
 
 _BOUND = np.uint64(int(SHARE * 2**64))
 _ALL, _LOW = 1, 2  # kinds of buckets a node gets
@@ -172,8 +182,8 @@ def _counted(sent: DataFrame, n_low: int, parts: int) -> DataFrame:
 
 
 def _buckets(counted: DataFrame, similar: int) -> DataFrame:
-    """Step 2: bucket, node, its number of shingles, how many of them come after its buckets, and
-    the bucket's place among them, for nodes whose first shingles are held by others too.
+    """Step 2: bucket, node, its number of shingles, and the bucket's place among them, for nodes
+    whose first shingles are held by others too.
 
     weight is how many buckets the node has. A text that others were made from by small changes
     has the most, as each change puts shingles that nobody else has first.
@@ -203,22 +213,26 @@ def _buckets(counted: DataFrame, similar: int) -> DataFrame:
             rows, rank = rows[first_ones], rank[first_ones]
             # Places in the node's order: what it has alone comes first.
             place = rank + (firsts - left)[owner[rows]]
-            held = np.bincount(which[mine], (alone + counts)[mine], n).astype(np.int64)
-            rest = (sizes - np.minimum(firsts, held))[owner[rows]]
-            found.append((mixed(shingles[rows] + np.uint64(kind)).view(np.int64), owner[rows], place, rest))
-        bucket, who, place, rest = (np.concatenate(x) for x in zip(*found, strict=True))
+            found.append((mixed(shingles[rows] + np.uint64(kind)).view(np.int64), owner[rows], place))
+        bucket, who, place = (np.concatenate(x) for x in zip(*found, strict=True))
         weight = np.bincount(who, minlength=n)
         raw = nodes[first].tobytes()
         return pa.Table.from_arrays(
-            [pa.array(bucket), pa.array([raw[16 * i : 16 * i + 16] for i in who.tolist()], pa.binary()), pa.array(sizes[who]), pa.array(rest), pa.array(place), pa.array(weight[who])],
-            ["bucket", "node", "shingles", "rest", "place", "weight"],
+            [pa.array(bucket), pa.array([raw[16 * i : 16 * i + 16] for i in who.tolist()], pa.binary()), pa.array(sizes[who]), pa.array(place), pa.array(weight[who])],
+            ["bucket", "node", "shingles", "place", "weight"],
         )
 
-    return counted.groupBy("part").applyInArrow(order, "bucket long, node binary, shingles long, rest long, place long, weight long")
+    return counted.groupBy("part").applyInArrow(order, "bucket long, node binary, shingles long, place long, weight long")
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """The bitmap of a set, as BITMAP signed words."""
+    odd = np.bincount((shingles % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _segments(documents: DataFrame, ids: DataFrame, n_words: int, similar: int) -> DataFrame:
-    """The fragments of step 3: node, fragment and shingles of the documents with the ids."""
+    """The fragments of step 3: node, fragment and shingles of the documents with the ids; and bitmaps."""
 
     def run(batches):
         for _, buf, offsets in text_slices(batches):
@@ -228,6 +242,7 @@ def _segments(documents: DataFrame, ids: DataFrame, n_words: int, similar: int)
                 if node is not None:
                     cuts = np.searchsorted(s, (np.arange(1, PARTS) * (2**64 // PARTS)).astype(np.uint64))
                     out += [(node, k, len(s), p.view(np.int64)) for k, p in enumerate(np.split(s, cuts)) if len(p)]
+                    out.append((node, _BITS, len(s), parity_bits(s)))
             if out:
                 kinds = (pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["node", "fragment", "size", "shingles"])
@@ -237,35 +252,48 @@ def _segments(documents: DataFrame, ids: DataFrame, n_words: int, similar: int)
     return found.mapInArrow(run, "node binary, fragment int, size long, shingles array<long>")
 
 
-def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """One row per row: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
+def _fewer_buckets(postings: DataFrame) -> DataFrame:
+    """Buckets with more than one node; those with the same nodes as one.
+
+    They are told by their number of nodes and two hashes of them; should two different ones
+    coincide, their nodes are merely tried with each other. A node has its earliest place: what
+    could be a pair in one of the buckets can be one in the common bucket.
+    """
+    sets = postings.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    ).filter("n > 1")
+    sets = sets.select("bucket", F.xxhash64("n", "x", "y").alias("same"))
+    return postings.join(sets, "bucket").groupBy(F.col("same").alias("bucket"), "node").agg(
+        F.max("shingles").alias("shingles"), F.min("place").alias("place"), F.max("weight").alias("weight")
+    )
+
+
+def _near_nodes(documents: DataFrame, n_words: int, similar: int) -> tuple[DataFrame, DataFrame]:
+    """Summaries of all rows; and node and root of nodes that are linked, but roots."""
     summaries = settle(_summaries(documents, n_words, similar))
     low, high = (int(x or 0) for x in summaries.agg(F.sum("low"), F.sum("high")).first())
     n_low, n_high = max(8, -(-low // FRAGMENT)), max(8, -(-high // FRAGMENT))
     sent = _sent(documents, n_words, similar, n_low, n_high)
-    postings = settle(_buckets(_counted(sent, n_low, n_low + n_high), similar))
-    busy = postings.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    size = F.struct("shingles", "rest", "place").alias("size")
-    postings = settle(postings.join(busy, "bucket").select("bucket", "node", size, "weight"))
+    postings = settle(_fewer_buckets(settle(_buckets(_counted(sent, n_low, n_low + n_high), similar))))
+    busy = settle(postings.select("node").distinct())
 
     classes = summaries.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    wanted = settle(classes.join(postings.select("node").distinct(), "node", "left_semi").select(F.col("first_id").alias("wanted")).distinct())
+    wanted = settle(classes.join(busy, "node", "left_semi").select(F.col("first_id").alias("wanted")).distinct())
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    segments = settle(_segments(documents, ids, n_words, similar).join(postings.select("node").distinct(), "node", "left_semi").dropDuplicates(["node", "fragment"]))
-
-    # Shortened bucket numbers may coincide: that counts a pair as sharing more, never less.
-    buckets = postings.groupBy("node").agg(
-        F.collect_set(F.col("bucket").bitwiseAND(0x7FFFFFFF).cast("int")).alias("buckets"), F.max("size").alias("size")
-    )
-    buckets = settle(buckets)
+    segments = settle(_segments(documents, ids, n_words, similar).join(busy, "node", "left_semi").dropDuplicates(["node", "fragment"]))
+    bits = segments.filter(F.col("fragment") == _BITS).select("node", F.col("shingles").alias("bits"))
+    size = F.struct("shingles", "place", "bits").alias("size")
+    postings = settle(postings.join(bits, "node").select("bucket", "node", size, "weight"))
+    segments = segments.filter(F.col("fragment") != _BITS)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = buckets.select(F.col("node").alias("a"), F.col("buckets").alias("of_a"), F.col("size").alias("x"))
-        b = buckets.select(F.col("node").alias("b"), F.col("buckets").alias("of_b"), F.col("size").alias("y"))
-        shared = F.size(F.array_intersect("of_a", "of_b"))
-        pairs = pairs.join(a, "a").join(b, "b").filter(enough(shared, F.col("x"), F.col("y"))).select("a", "b")
-        a = segments.select(F.col("node").alias("a"), "fragment", F.col("size").alias("a_size"), F.col("shingles").alias("of_a"))
-        b = segments.select(F.col("node").alias("b"), "fragment", F.col("size").alias("b_size"), F.col("shingles").alias("of_b"))
+        # Most rounds try few of the nodes; only their sets are moved.
+        pairs = settle(pairs)
+        tried = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        tried = F.broadcast(tried) if pairs.count() <= BROADCAST_PAIRS else tried
+        moved = segments.join(tried, "node", "left_semi")
+        a = moved.select(F.col("node").alias("a"), "fragment", F.col("size").alias("a_size"), F.col("shingles").alias("of_a"))
+        b = moved.select(F.col("node").alias("b"), "fragment", F.col("size").alias("b_size"), F.col("shingles").alias("of_b"))
         cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
         partial = cut.join(a, ["a", "fragment"]).join(b, ["b", "fragment"]).select("a", "b", "a_size", "b_size", F.size(F.array_intersect("of_a", "of_b")).alias("both"))
         summed = partial.groupBy("a", "b", "a_size", "b_size").agg(F.sum("both").alias("both"))
@@ -274,27 +302,73 @@ def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     def compatible(x, y):
         # If this bucket is the first that the two share, they have no more in common than what
         # follows it in either order; that must be enough.
+        total = x["shingles"] + y["shingles"]
         after = F.least(x["shingles"] - x["place"], y["shingles"] - y["place"])
-        return (100 + similar) * after >= similar * (x["shingles"] + y["shingles"])
+        # No more bits differ than shingles do, and total - 2 * common shingles differ.
+        apart = sum(F.bit_count(x["bits"][i].bitwiseXOR(y["bits"][i])) for i in range(BITMAP))
+        most = total - apart
+        return ((100 + similar) * after >= similar * total) & ((100 + similar) * most >= 2 * similar * total)
+
+    return summaries, connect(postings, verify, compatible)
 
-    def enough(shared, x, y):
-        # Of one of the two, all that they have in common is in the buckets or comes after them.
-        most = shared + F.greatest(x["rest"], y["rest"])
-        return (100 + similar) * most >= similar * (x["shingles"] + y["shingles"])
 
-    roots = connect(postings, verify, compatible)
-    grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
+    """One row per row: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
+    summaries, roots = _near_nodes(documents, n_words, similar)
+    grouped = _grouped(summaries, roots)
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = grouped.join(smallest, "root").select("node", "component_id")
     return summaries.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _grouped(summaries: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, its smallest doc_id, and its root."""
+    classes = summaries.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    return classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _with_nodes(documents: DataFrame, column: str, n_words: int, similar: int) -> DataFrame:
+    """All columns, and the digest of each text's set under a name of its own."""
+
+    def run(batches):
+        for rows, buf, offsets in text_slices(batches):
+            nodes = pa.array(_sets(buf, offsets, n_words, similar)[1], pa.binary())
+            yield pa.RecordBatch.from_arrays([*rows.columns, nodes], [*rows.schema.names, column])
+
+    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(column, T.BinaryType())]))
+
+
 def drop_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
     """The document with the smallest doc_id of each component, with all columns.
 
-    Rows without a doc_id stay, as they can't be told apart.
+    Rows are decided by doc_id and set, so another text under the id of a copy stays. A row without
+    a doc_id goes if its component has a row with one; of components without any, the rows with the
+    smallest set digest stay.
     """
-    found = join_near_copies(documents, n_words, similar)
-    dropped = settle(found.filter("doc_id != component_id").select(F.col("doc_id").alias("dropped_id")).distinct())
-    ids = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
-    return documents.join(ids, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    summaries, roots = _near_nodes(documents, n_words, similar)
+    of_node = _grouped(summaries, roots).select("node", "root")
+    rows = summaries.filter("node IS NOT NULL").select("doc_id", "node").distinct().join(of_node, "node")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node").alias("place")
+    # Copies with one set are a node; two ids of it are two rows here.
+    first = rows.groupBy("root").agg(F.min(place).alias("first"))
+    gone = rows.join(first, "root").filter(place != F.col("first"))
+    names = [unused(documents, c) for c in ("doc_id", "node")]
+    dropped = settle(gone.select(F.col("doc_id").alias(names[0]), F.col("node").alias(names[1])))
+    few = dropped.count() <= BROADCAST_IDS
+    ids = dropped.select(names[0]).distinct()
+    ids, dropped = (F.broadcast(ids), F.broadcast(dropped)) if few else (ids, dropped)
+    same_id = documents["doc_id"].cast("long").eqNullSafe(ids[names[0]])
+    # Only texts under an id that loses a row are looked at again.
+    others = documents.join(ids, same_id, "left_anti")
+    looked = _with_nodes(documents.join(ids, same_id, "left_semi"), unused(documents, "of_text"), n_words, similar)
+    node = looked.columns[-1]
+    same = looked["doc_id"].cast("long").eqNullSafe(dropped[names[0]]) & (looked[node] == dropped[names[1]])
+    return others.unionByName(looked.join(dropped, same, "left_anti").drop(node))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
