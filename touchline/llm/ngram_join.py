@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.bytes_text import NONSPACE, find_words, mixed, shingle_sets, text_slices, word_hashes
-from touchline.llm.components import connect
-from touchline.session import settle
+from touchline.llm.components import connect, unused
+from touchline.session import scratch, settle
 
 WORDS = 4
 #: Similarity in hundredths.
@@ -309,16 +309,18 @@ def _near_nodes(documents: DataFrame, n_words: int, similar: int) -> tuple[DataF
         most = total - apart
         return ((100 + similar) * after >= similar * total) & ((100 + similar) * most >= 2 * similar * total)
 
-    return summaries, connect(postings, verify, compatible)
+    return summaries, connect(postings, verify, compatible, rounds=1)
 
 
 def join_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
-    summaries, roots = _near_nodes(documents, n_words, similar)
-    grouped = _grouped(summaries, roots)
-    smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_node = grouped.join(smallest, "root").select("node", "component_id")
-    return summaries.join(of_node, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    with scratch(documents.sparkSession):
+        summaries, roots = _near_nodes(documents, n_words, similar)
+        grouped = _grouped(summaries, roots)
+        smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        of_node = grouped.join(smallest, "root").select("node", "component_id")
+        found = summaries.join(of_node, "node", "left")
+        return settle(found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), keep=True)
 
 
 def _grouped(summaries: DataFrame, roots: DataFrame) -> DataFrame:
@@ -345,15 +347,16 @@ def drop_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     a doc_id goes if its component has a row with one; of components without any, the rows with the
     smallest set digest stay.
     """
-    summaries, roots = _near_nodes(documents, n_words, similar)
-    of_node = _grouped(summaries, roots).select("node", "root")
-    rows = summaries.filter("node IS NOT NULL").select("doc_id", "node").distinct().join(of_node, "node")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node").alias("place")
-    # Copies with one set are a node; two ids of it are two rows here.
-    first = rows.groupBy("root").agg(F.min(place).alias("first"))
-    gone = rows.join(first, "root").filter(place != F.col("first"))
     names = [unused(documents, c) for c in ("doc_id", "node")]
-    dropped = settle(gone.select(F.col("doc_id").alias(names[0]), F.col("node").alias(names[1])))
+    with scratch(documents.sparkSession):
+        summaries, roots = _near_nodes(documents, n_words, similar)
+        of_node = _grouped(summaries, roots).select("node", "root")
+        rows = summaries.filter("node IS NOT NULL").select("doc_id", "node").distinct().join(of_node, "node")
+        place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node").alias("place")
+        # Copies with one set are a node; two ids of it are two rows here.
+        first = rows.groupBy("root").agg(F.min(place).alias("first"))
+        gone = rows.join(first, "root").filter(place != F.col("first"))
+        dropped = settle(gone.select(F.col("doc_id").alias(names[0]), F.col("node").alias(names[1])), keep=True)
     few = dropped.count() <= BROADCAST_IDS
     ids = dropped.select(names[0]).distinct()
     ids, dropped = (F.broadcast(ids), F.broadcast(dropped)) if few else (ids, dropped)
@@ -364,11 +367,3 @@ def drop_near_copies(documents: DataFrame, n_words: int = WORDS, similar: int =
     node = looked.columns[-1]
     same = looked["doc_id"].cast("long").eqNullSafe(dropped[names[0]]) & (looked[node] == dropped[names[1]])
     return others.unionByName(looked.join(dropped, same, "left_anti").drop(node))
-
-
-def unused(df: DataFrame, name: str) -> str:
-    """A column name that the frame doesn't have, in any case of letters."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
