@@ -2,17 +2,18 @@
 
 Only how many pieces there are of each length decides how they are packed, so the packing is
 worked out on that histogram, of at most `capacity` entries whatever the corpus; pieces of one
-length are interchangeable. First the reduction: the longest piece, with the pieces that fit
-beside it, is fixed for good where that set dominates every other it could be in: nothing fits
-beside it; or something fills the sequence exactly; or only one piece fits at a time, and it gets
-the longest. The rest is packed best-fit decreasing. Both work on all pieces of a length at once.
+length are interchangeable. First the reduction: every length, longest first, is fixed for good
+with up to two others where that set dominates every other that such a piece could be in: nothing
+fits beside it; one piece fills the sequence; the longest piece that fits is as long as any two
+together; or the longest two are at least as good as any other two, and three don't fit. The rest
+is packed best-fit decreasing. Both work on all pieces of a length at once.
 
 The result is a list of patterns (which lengths, how many sequences alike). Pieces are then
 numbered within their length by Spark, in buckets of bounded size, and the number tells the
 sequence and the place in it.
 """
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +27,8 @@ from touchline.llm.token_orc import shared_encoder, with_end
 CAPACITY = 4096
 #: Pieces of one length that are numbered in one task, about.
 BUCKET_ROWS = 50_000
+#: Passes of the reduction over all lengths at most; the rest is packed either way.
+PASSES = 8
 
 
 class Pattern(NamedTuple):
@@ -35,40 +38,62 @@ class Pattern(NamedTuple):
     lengths: tuple[tuple[int, int], ...]
 
 
+def _dominant(counts: np.ndarray, length: int, capacity: int) -> tuple[int, ...] | None:
+    """The pieces that a sequence with a piece of this length can as well hold beside it; None if no
+    single set is known to be as good as all others.
+
+    One set is as good as another if the other's pieces, put together in groups, go into the places
+    of its pieces: then they can be exchanged in any packing.
+    """
+    room = capacity - length
+    left = counts[: room + 1].copy()
+    left[0] = 0
+    if length <= room:
+        left[length] -= 1
+    sizes = np.flatnonzero(left)
+    if not len(sizes):
+        return ()
+    best = int(sizes[-1])
+    if best == room:
+        return (best,)
+    # For each piece the longest other one, no longer than it, that fits beside both.
+    at = np.searchsorted(sizes, np.minimum(sizes, room - sizes), "right") - 1
+    at -= (at >= 0) & (sizes[at] == sizes) & (left[sizes] < 2)
+    paired = at >= 0
+    if not paired.any():
+        return (best,)
+    x, y = sizes[paired], sizes[at[paired]]
+    least = np.repeat(sizes[:3], np.minimum(left[sizes[:3]], 3))[:3]
+    if len(least) == 3 and least.sum() <= room:
+        return None
+    if (x + y).max() <= best:
+        return (best,)
+    if paired[-1]:
+        second = int(sizes[at[-1]])
+        if ((y <= second) | (x + y <= best)).all():
+            return (best, second)
+    return None
+
+
 def _reduced(counts: np.ndarray, capacity: int) -> list[Pattern]:
-    """Fixes what dominates, longest first, until a length has alternatives; lowers counts."""
+    """Fixes what dominates, longest first, and again as long as that leaves new such sets (PASSES
+    times at most); lowers counts."""
     fixed = []
-    longest = capacity
-    while True:
-        while longest and not counts[longest]:
-            longest -= 1
-        if not longest:
-            return fixed
-        room, n = capacity - longest, int(counts[longest])
-        fits = np.flatnonzero(counts[: room + 1])
-        fits = fits[fits > 0]
-        if not len(fits):
-            fixed.append(Pattern(n, ((longest, 1),)))
-            counts[longest] = 0
-            continue
-        best = int(fits[-1])
-        least = int(fits[0])
-        two = 2 * least if counts[least] > 1 else least + int(fits[1]) if len(fits) > 1 else capacity + 1
-        if best == room or two > room:
-            if best == longest:
-                if n == 1:
-                    fixed.append(Pattern(1, ((longest, 1),)))
-                    counts[longest] = 0
-                else:
-                    fixed.append(Pattern(n // 2, ((longest, 2),)))
-                    counts[longest] -= n // 2 * 2
-                continue
-            times = min(n, int(counts[best]))
-            fixed.append(Pattern(times, ((longest, 1), (best, 1))))
-            counts[longest] -= times
-            counts[best] -= times
-            continue
-        return fixed
+    for _ in range(PASSES):
+        before = len(fixed)
+        for length in np.flatnonzero(counts)[::-1].tolist():
+            while counts[length]:
+                others = _dominant(counts, length, capacity)
+                if others is None:
+                    break
+                held = Counter((length, *others))
+                times = min(int(counts[v]) // n for v, n in held.items())
+                fixed.append(Pattern(times, tuple(sorted(held.items(), reverse=True))))
+                for v, n in held.items():
+                    counts[v] -= times * n
+        if len(fixed) == before:
+            break
+    return fixed
 
 
 def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
