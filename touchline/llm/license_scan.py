@@ -2,15 +2,18 @@
 
 A suffix automaton of the templates' words gives, at each word of a text, the longest run that
 ends there and stands in some template. Runs of at least SEED words that can't be extended are
-seeds. Seeds of one template that follow each other in text and template, with at most GAP words
-between, are chained; a chain's coverage is the share of the template's words that its seeds
-hold. A template whose best chain covers COVERED of it, or holds LONG words, labels the text.
+seeds, one for each place that the run has in a template. Seeds of one template that follow each
+other in text and template, with at most GAP words between, are chained; a chain's coverage is the
+share of the template's words that its seeds hold. Chains that cover COVERED of their template, or
+hold LONG words, are spans, best first and without overlap within a template, so a text may hold a
+template several times; their templates label the text.
 
 Words are as in the query's contract: runs of ASCII letters and digits and of everything beyond
 ASCII, A-Z lower-cased. A null or empty text has no words, counts and labels. Extra columns are
 ignored, repeated rows give a row each.
 """
 
+import bisect
 from collections import defaultdict
 
 import numpy as np
@@ -62,7 +65,7 @@ class Scanner:
         sequences = [_words_of(t) for t in templates.values()]
         self.vocabulary = Vocabulary(sequences)
         self.automaton = SuffixAutomaton([s.tolist() for s in self.vocabulary.numbered])
-        self.owners = self.automaton.owners()
+        self.ends = self.automaton.ends()
         self.sizes = [len(s) for s in sequences]
         self.phrases = [(_words_of(p), label) for p, label in base.items()]
 
@@ -80,8 +83,8 @@ class Scanner:
                 found[i].append((start, label))
         return found
 
-    def spans(self, words, hashes: np.ndarray) -> dict[int, list[tuple[str, int, int, float]]]:
-        """By text: each template's best chain, as template, first and last word, coverage."""
+    def spans(self, words, hashes: np.ndarray, covered: float, long: int) -> dict[int, list[tuple[str, int, int, float]]]:
+        """By text: the chains that are spans, as template, first and last word, coverage."""
         seeds, numbers = defaultdict(list), self.vocabulary.numbers(hashes)
         for a, b in self.vocabulary.stretches(numbers, words.first, self.seed):
             text = int(np.searchsorted(words.first, a, "right")) - 1
@@ -89,29 +92,46 @@ class Scanner:
             before = None
             for i, (state, n) in enumerate([*self.automaton.stream(numbers[a:b].tolist()), (0, 0)]):
                 if before and before[1] >= self.seed and n <= before[1]:
-                    for template, end in self.owners[before[0]].items():
-                        seeds[text, template].append((at + i - before[1], end - before[1] + 1, before[1]))
+                    for template, ends in self.ends[before[0]].items():
+                        for end in ends:
+                            seeds[text, template].append((at + i - before[1], end - before[1] + 1, before[1]))
                 before = (state, n)
         out = defaultdict(list)
         for (text, template), found in seeds.items():
-            first, last, held = self._chained(found)
-            out[text].append((self.names[template], first, last, min(1.0, held / self.sizes[template])))
+            size = self.sizes[template]
+            for first, last, held in chains(found, self.gap, min(covered * size, long)):
+                out[text].append((self.names[template], first, last, min(1.0, held / size)))
         return out
 
-    def _chained(self, seeds: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        """The chain that holds most words; only seeds within the gap are looked back at."""
-        seeds.sort()
-        best: list[tuple[int, int]] = []  # words held, first word
-        for i, (at, place, n) in enumerate(seeds):
-            held, first = n, at
-            for j in range(i - 1, max(-1, i - 2 * self.gap - 1), -1):
-                at2, place2, n2 = seeds[j]
-                new = n - max(0, at2 + n2 - at, place2 + n2 - place)
-                if at - (at2 + n2) <= self.gap and abs(place - (place2 + n2)) <= self.gap and place > place2 and new > 0 and best[j][0] + new > held:
-                    held, first = best[j][0] + new, best[j][1]
-            best.append((held, first))
-        i = max(range(len(seeds)), key=lambda k: (best[k][0], -k))
-        return best[i][1], seeds[i][0] + seeds[i][2] - 1, best[i][0]
+
+def chains(seeds: list[tuple[int, int, int]], gap: int, least: float) -> list[tuple[int, int, int]]:
+    """First and last word and words held of chains that hold `least` words, best first, none of
+    which overlap. seeds: place in the text, place in the template, words."""
+    seeds = sorted(seeds)
+    longest = max(n for _, _, n in seeds)
+    best: list[tuple[int, int]] = []  # words held, first word
+    for i, (at, place, n) in enumerate(seeds):
+        held, first = n, at
+        j = i - 1
+        while j >= 0 and at - seeds[j][0] <= longest + gap:
+            at2, place2, n2 = seeds[j]
+            new = n - max(0, at2 + n2 - at, place2 + n2 - place)
+            if at - (at2 + n2) <= gap and abs(place - (place2 + n2)) <= gap and place > place2 and new > 0 and best[j][0] + new > held:
+                held, first = best[j][0] + new, best[j][1]
+            j -= 1
+        best.append((held, first))
+    taken: list[tuple[int, int]] = []  # in order, apart from each other
+    out = []
+    for i in sorted(range(len(seeds)), key=lambda k: (-best[k][0], k)):
+        held, first = best[i]
+        if held < least:
+            break
+        last = seeds[i][0] + seeds[i][2] - 1
+        k = bisect.bisect_right(taken, (first, last))
+        if (k == 0 or taken[k - 1][1] < first) and (k == len(taken) or taken[k][0] > last):
+            taken.insert(k, (first, last))
+            out.append((first, last, held))
+    return out
 
 
 def scan_licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES, base: dict[str, str] = BASE, seed: int = SEED, gap: int = GAP, covered: float = COVERED, long: int = LONG) -> DataFrame:
@@ -122,15 +142,14 @@ def scan_licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES, b
 
     def run(batches):
         scanner = Scanner(templates, base, seed, gap)
-        sizes = dict(zip(scanner.names, scanner.sizes, strict=True))
         for rows, buf, offsets in text_slices(batches):
             words = find_words(buf, offsets, ALNUM)
             hashes = word_hashes(words)
-            base_found, span_found = scanner.base(words, hashes), scanner.spans(words, hashes)
+            base_found, span_found = scanner.base(words, hashes), scanner.spans(words, hashes, covered, long)
             cells = []
             for i in range(rows.num_rows):
                 phrases = base_found.get(i, [])
-                kept = sorted(s for s in span_found.get(i, []) if s[3] >= covered or s[3] * sizes[s[0]] >= long)
+                kept = sorted(span_found.get(i, []))
                 own = sorted({label for _, label in phrases})
                 cells.append(
                     (

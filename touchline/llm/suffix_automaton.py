@@ -54,16 +54,29 @@ class SuffixAutomaton:
             self.link[new] = self._split(p, token)
         return new
 
-    def owners(self) -> list[dict[int, int]]:
-        """For each state, the sequences that hold its runs, and where one of them ends."""
-        found: list[dict[int, int]] = [{} for _ in self.length]
+    def owners(self) -> list[set[int]]:
+        """For each state, the sequences that hold its runs."""
+        found: list[set[int]] = [set() for _ in self.length]
         for k, tokens in enumerate(self.sequences):
             state = 0
-            for at, token in enumerate(tokens):
+            for token in tokens:
                 state = self.next[state][token]
                 v = state
                 while v > 0 and k not in found[v]:
-                    found[v][k] = at
+                    found[v].add(k)
+                    v = self.link[v]
+        return found
+
+    def ends(self) -> list[dict[int, list[int]]]:
+        """For each state, the sequences that hold its runs, and all places where they end."""
+        found: list[dict[int, list[int]]] = [{} for _ in self.length]
+        for k, tokens in enumerate(self.sequences):
+            state = 0
+            for at, token in enumerate(tokens):
+                state = self.next[state][token]
+                v = state
+                while v > 0:
+                    found[v].setdefault(k, []).append(at)
                     v = self.link[v]
         return found
 
