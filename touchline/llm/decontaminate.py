@@ -181,3 +181,35 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WI
         return rows.filter(pa.array(~((hit > 0) & (one_in * hit >= n_words))))
 
     return _streamed(documents, benchmark, window, block_words, documents.schema, finish)
+
+
+def cut_spans(documents: DataFrame, benchmark: DataFrame, longest: int = WINDOW, window: int = WINDOW, one_in: int = ONE_IN, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """All documents, with spans of benchmark words cut out of their texts.
+
+    A span goes if it has `longest` words or more, and every span of a document goes that holds so
+    much of the benchmark that it is contaminated. What stands before the span's first word and after
+    its last one stays as it is; other texts and columns aren't changed.
+    """
+
+    def finish(rows, n_words, hit, names, spans):
+        texts = rows["text"].to_pylist()
+        for i, found in enumerate(spans):
+            all_go = hit[i] > 0 and one_in * hit[i] >= n_words[i]
+            cut = [s for s in found if all_go or s[1] - s[0] >= longest]
+            if cut:
+                texts[i] = _without(texts[i].encode(), cut).decode()
+        columns = [pa.array(texts, rows.schema.field(k).type) if name == "text" else rows.column(k) for k, name in enumerate(rows.schema.names)]
+        return pa.RecordBatch.from_arrays(columns, schema=rows.schema)
+
+    return _streamed(documents, benchmark, window, block_words, documents.schema, finish)
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """A text without the words of the spans, first word to one past the last, and what is between."""
+    buf = np.frombuffer(text, np.uint8)
+    words = find_words(buf, np.array([0, len(buf)]), ALNUM)
+    kept, at = [], 0
+    for first, end in spans:
+        kept.append(text[at : words.starts[first]])
+        at = int(words.ends[end - 1])
+    return b"".join([*kept, text[at:]])
