@@ -8,7 +8,9 @@ content more likely than not make up the text, in page order, one line each.
 
 Training pages are labelled by their own markup: in a sample of at most PAGES pages that have an
 <article> or <main>, what is inside, and in nothing that is named or meant as something else, is
-content. Weights are drawn towards a fixed start, which holds where the sample shows no example.
+content. Each is learned from twice, as it is and with that markup masked, so that pages without
+any are decided by their text and links. Weights are drawn towards a fixed start, which holds where
+the sample shows no example.
 
 Within a run, character references are decoded and white space becomes single spaces. Scripts,
 styles, comments, titles and form controls hold no text; unclosed or crossed tags are closed as
@@ -255,17 +257,28 @@ class TreeModel(NamedTuple):
         return "\n".join(t for t, c in zip(page.text, chances, strict=True) if t is not None and c > 0.5)
 
 
+def masked(page: Page) -> Page:
+    """The page as if nothing in it told its part: plain containers, no names."""
+    tags = ["div" if tag in ARTICLE_TAGS | ASIDE_TAGS else tag for tag in page.tag]
+    return page._replace(tag=tags, names=[frozenset()] * len(tags))
+
+
 def fit_tree_model(sources: list[str], steps: int = 300) -> TreeModel:
-    """Node weights by penalised logistic regression, the chances on edges by counting."""
+    """Node weights by penalised logistic regression, the chances on edges by counting.
+
+    Every page counts twice, as it is and masked, so that lengths, links, punctuation and the kinds of
+    blocks get weights by which pages without telling markup are decided.
+    """
     rows, labels, counts = [], [], np.zeros((len(KINDS), 2, 2))
     for source in sources:
         page = parse(source)
         y = markup_labels(page)
         if y is None:
             continue
-        rows.append(node_features(page))
-        labels.append(y)
-        np.add.at(counts, (node_kinds(page)[1:], y[page.parent[1:]].astype(int), y[1:].astype(int)), 1)
+        for version in (page, masked(page)):
+            rows.append(node_features(version))
+            labels.append(y)
+            np.add.at(counts, (node_kinds(version)[1:], y[page.parent[1:]].astype(int), y[1:].astype(int)), 1)
     weights, prior = START.copy(), 0.0
     if rows:
         x, y = np.concatenate(rows), np.concatenate(labels)
