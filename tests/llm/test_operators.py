@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from brute import (
@@ -15,6 +17,8 @@ from brute import (
     near_kept,
     token_rows,
 )
+from brute import NONSPACE as NONSPACE_WORDS
+from brute import words as brute_words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -30,11 +34,12 @@ from touchline.llm import (
     rule_quality,
     token_orc,
 )
-from touchline.llm.bytes_text import ALNUM, NONSPACE, find_words, text_slices, word_text
+from touchline.llm.bytes_text import ALNUM, NONSPACE, find_words, text_slices, word_hashes, word_text
 from touchline.llm.queries import QUERIES, read_table
 from touchline.session import shared_folder
 
 SF = "/root/testdata/sf0.001"
+brute_nonspace = NONSPACE_WORDS.findall
 WORDS = "the of and in to is it that was for on are as with his they at be this from".split()
 
 
@@ -222,6 +227,138 @@ def test_licenses(spark, table, docs, empty):
     assert rows(license_scan.scan_licenses(empty)) == []
 
 
+def test_statistics_and_compiled_rules(spark, table, docs):
+    """Statistics against plain Python; rules as columns against rules as arrays, and the score."""
+    import math
+
+    import numpy as np
+
+    given = table.select("doc_id", "text", F.col("text").alias("given"))
+    got = rule_quality.with_statistics(given, "doc_id", "given").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        text = r.given or ""
+        words, raw = brute_nonspace(text), text.encode()
+        lines = [x for x in text.split("\n") if x]
+        share = lambda n, of=len(raw): n / max(of, 1)
+        counts = Counter(words)
+        want = {
+            "n_words": len(words), "word_length": share(sum(len(w.encode()) for w in words), len(words)),
+            "longest_word": max((len(w.encode()) for w in words), default=0), "digit_share": share(sum(48 <= b <= 57 for b in raw)),
+            "upper_share": share(sum(65 <= b <= 90 for b in raw)), "mark_share": share(raw.count(b"!")), "distinct_words": share(len({w.lower() for w in words}), len(words)),
+            "n_lines": len(lines), "distinct_lines": share(len({x.lower() for x in lines}), len(lines)), "bar_words": share(counts["|"], len(words)),
+            "stop_share": share(sum(len(w.encode()) <= 3 for w in words), len(words)), "comma_share": share(raw.count(b",") + raw.count(b".")),
+        }
+        for name, value in want.items():
+            assert r[name] == pytest.approx(value), (name, text[:60])
+    rng = random.Random(15)
+    x = {c: np.array([r[c] for r in got]) for c in rule_quality.STATISTICS}
+    rules = [
+        rule_quality.Rule(tuple((c, rng.random() < 0.5, float(rng.choice(x[c]))) for c in rng.sample(rule_quality.STATISTICS, rng.randrange(1, 4))))
+        for _ in range(40)
+    ]
+    weights = [rng.uniform(-2, 2) for _ in rules]
+    ensemble = rule_quality.Ensemble(rules, weights, 0.25)
+    stored = spark.createDataFrame([(i, *(float(x[c][i]) for c in rule_quality.STATISTICS)) for i in range(len(got))], "i long, " + ", ".join(f"{c} double" for c in rule_quality.STATISTICS))
+    told = stored.orderBy("i").select(ensemble.logit().alias("logit"), *(r.column().alias(f"r{k}") for k, r in enumerate(rules))).collect()
+    holds = np.stack([r.holds(x) for r in rules], axis=1)
+    assert [list(r[1:]) for r in told] == holds.tolist()
+    for r, h in zip(told, holds, strict=True):
+        assert math.isclose(r.logit, 0.25 + sum(w for w, held in zip(weights, h, strict=True) if held), abs_tol=1e-9)
+
+
+def test_cut_spans(spark):
+    """What is left has the words that no span held; long spans go from clean documents, too."""
+    rng = random.Random(12)
+    item = [f"w{i}" for i in range(20)]
+    long = prose(rng, 900).split()
+    docs = [
+        (1, " ".join([*long[:500], *item, *long[500:]])), (2, "Some, " + ", ".join(item) + " -- end."), (3, "short one two three x " + prose(rng, 300)),
+        (4, "one two three"), (5, prose(rng, 40)), (6, None), (7, ""), (1, "Été " + " ".join(item[:13]) + "; ça va"),
+    ]
+    table = spark.createDataFrame([(*r, "x", 1) for r in docs], "doc_id long, text string, hit_spans string, contaminated int")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for words in (20, 200_000):
+        left = decontaminate.cut_spans(table, items, block_words=words)
+        assert left.columns == table.columns
+        got = {(r.doc_id, t): r.text for r, (_, t) in zip(left.orderBy("doc_id", "text").collect(), sorted(docs, key=lambda d: (d[0], d[1] is not None, d[1] or "")), strict=True)}
+        texts = sorted((r.text for r in left.collect()), key=repr)
+        assert len(got) == len(docs)
+        want = {1: " ".join([*long[:500], "", *long[500:]]), 2: "Some,  -- end.", 4: "", 5: docs[4][1], 6: None, 7: ""}
+        assert texts == sorted([*want.values(), docs[2][1], "Été ; ça va"], key=repr)
+        again = decontaminate.find_contamination(left, items, block_words=words).filter("contaminated").count()
+        assert again == 0
+
+
+def test_matching_statistics_and_chains():
+    """Against every run of the templates; templates that stand twice give two spans."""
+    from touchline.llm.suffix_automaton import SuffixAutomaton
+
+    rng = random.Random(13)
+    sequences = [[rng.randrange(4) for _ in range(n)] for n in (12, 7, 1, 30)]
+    auto = SuffixAutomaton(sequences)
+    ends = auto.ends()
+    runs = {tuple(s[a:b]) for s in sequences for a in range(len(s)) for b in range(a + 1, len(s) + 1)}
+    text = [rng.randrange(5) for _ in range(400)]
+    for i, (state, n) in enumerate(auto.stream(text)):
+        assert n == max(k for k in range(i + 2) if k == 0 or tuple(text[i + 1 - k : i + 1]) in runs)
+        if n:
+            run = text[i + 1 - n : i + 1]
+            places = {k: [e for e in range(n - 1, len(s)) if s[e - n + 1 : e + 1] == run] for k, s in enumerate(sequences)}
+            assert ends[state] == {k: p for k, p in places.items() if p}
+            assert auto.owners()[state] == set(ends[state])
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.BASE, license_scan.SEED, license_scan.GAP)
+
+    def spans(text):
+        batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+        (_, buf, offsets), = text_slices([batch])
+        words = find_words(buf, offsets, ALNUM)
+        return sorted(scanner.spans(words, word_hashes(words), license_scan.COVERED, license_scan.LONG).get(0, []))
+
+    mit, bsd = (license_scan.TEMPLATES[f"{name}-text"] for name in ("mit", "bsd"))
+    n = len(brute_words(mit))
+    apart, filler = [f"f{i}" for i in range(30)], [f"g{i}" for i in range(2000)]
+    for between in ([], apart, filler):
+        got = [s for s in spans(" ".join([mit, *between, mit])) if s[0] == "mit-text"]
+        assert [(a, b, c) for _, a, b, c in got] == [(0, n - 1, 1.0), (n + len(between), 2 * n + len(between) - 1, 1.0)]
+    # A run that the template has twice is placed at either.
+    assert [(a, b, c) for name, a, b, c in spans(bsd) if name == "bsd-text"] == [(0, len(brute_words(bsd)) - 1, 1.0)]
+    half = brute_words(bsd)[30:]
+    assert [(a, b) for name, a, b, _ in spans(" ".join(half)) if name == "bsd-text"] == [(0, len(half) - 1)]
+    assert spans("permission is hereby granted to nobody") == []
+
+
+def optimum(lengths, capacity):
+    """Fewest sequences, over all ways to fill them one after the other."""
+    best = [(99, 0)] * (1 << len(lengths))
+    best[0] = (1, 0) if lengths else (0, 0)
+    for held in range(len(best)):
+        count, used = best[held]
+        for i, length in enumerate(lengths):
+            if not held >> i & 1:
+                way = (count, used + length) if used + length <= capacity else (count + 1, length)
+                best[held | 1 << i] = min(best[held | 1 << i], way)
+    return best[-1][0]
+
+
+def test_the_reduction_keeps_the_optimum():
+    import numpy as np
+
+    rng, fixed_pieces = random.Random(0), 0
+    for _ in range(300):
+        capacity = rng.choice([10, 12, 17, 30])
+        lengths = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 9))]
+        counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+        fixed = packing._reduced(counts, capacity)
+        rest = np.repeat(np.arange(capacity + 1), counts).tolist()
+        assert sum(p.times for p in fixed) + optimum(rest, capacity) == optimum(lengths, capacity)
+        fixed_pieces += len(lengths) - len(rest)
+    assert fixed_pieces > 1000
+    assert [p.times for p in packing.pack_lengths({5: 1, 3: 1, 2: 1}, 10)] == [1]
+    assert sum(p.times for p in packing.pack_lengths({5: 3, 4: 2, 1: 2}, 10)) == 3
+
+
 def test_packing_of_lengths():
     rng = random.Random(3)
     for capacity, n in ((7, 30), (50, 300), (4096, 5000)):
@@ -333,6 +470,44 @@ def test_page_text(spark):
     assert html_tree.extract_text(pages.limit(0), html_tree.train(pages.limit(0))).count() == 0
 
 
+def test_the_page_model_learns():
+    """On pages that it wasn't fitted to, with all telling markup masked: characters of runs that are
+    content or not, against what the markup says."""
+    sources = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).to_pylist() if r["html"]]
+
+    def f1(model):
+        right = wrong = 0
+        for source in sources[120:]:
+            page = html_tree.parse(source)
+            labels, chances = html_tree.markup_labels(page), model.marginals(html_tree.masked(page))
+            for text, chance, label in zip(page.text, chances, labels, strict=True):
+                if text is not None and (chance > 0.5 or label):
+                    right += 2 * len(text) * (chance > 0.5 and label > 0)
+                    wrong += len(text) * ((chance > 0.5) != (label > 0))
+        return right / (right + wrong)
+
+    trained = html_tree.fit_tree_model(sources[:120])
+    assert f1(trained) >= 0.995 > 0.98 > f1(html_tree.fit_tree_model([]))
+    assert all(trained.text(s) == html_tree.fit_tree_model([]).text(s) for s in sources[120:140])
+    plain = """<body><div><a href="/">Home</a> <a href="/a">About</a></div><div>We use cookies to improve your visit. By going on you agree to this.</div>
+<div><h1>A headline of the story</h1><p>The first paragraph tells what happened, at length, with commas and stops. It goes on for a while.</p>
+<p>The second paragraph adds to it, and says who was there and why it matters to them.</p></div><div>&copy; 2024 Some Site</div></body>"""
+    lines = trained.text(plain).split("\n")
+    assert len(lines) == 3 and lines[0].startswith("A headline") and lines[2].endswith("to them.")
+
+
+def test_page_texts_of_the_table(spark):
+    """What the pages' own markup says is the article, in whole, and nothing else."""
+    got = {r.page_id: r.text for r in QUERIES["op7_html_text"](spark, SF).collect()}
+    pages = pq.read_table(f"{SF}/pages.parquet").to_pylist()
+    assert len(got) == len(pages)
+    for row in pages:
+        page = html_tree.parse(row["html"] or "")
+        labels = html_tree.markup_labels(page)
+        if labels is not None:
+            assert got[row["page_id"]] == "\n".join(t for t, y in zip(page.text, labels, strict=True) if t is not None and y)
+
+
 def test_marginals_are_those_of_the_whole_tree():
     """Against a sum over all labellings of a small tree."""
     from itertools import product
@@ -391,6 +566,41 @@ def test_near_lines(spark, empty):
     assert links and any(g for _, g in want.values())
 
 
+def test_lines_of_texts_that_share_an_id(spark):
+    """Decisions are by row: the only copy of a line stays, whatever other text has its id."""
+    rng = random.Random(8)
+    first, second, third, only = (prose(rng, 12) for _ in range(4))
+    docs = [(1, first), (2, f"{second}\n{first}"), (2, f"{third}\n{only}"), (None, f"{first} x\n{third}"), (None, f"q\n{second}"), (None, None)]
+    names = ["doc_id", "text", "of", "dropped_lines", "of_doc_id", "Of_Text_Hash", "root"]
+    table = spark.createDataFrame([(*r, *"abcde") for r in docs], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    left = fuzzy_lines.drop_repeated_lines(table)
+    assert left.columns == names
+    # Rows without an id come first.
+    want = [(1, ""), (2, ""), (2, only), (None, docs[3][1]), (None, docs[4][1]), (None, None)]
+    got = rows(left)
+    assert [r[2:] for r in got] == [tuple("abcde")] * 6
+    assert sorted([r[:2] for r in got], key=repr) == sorted(want, key=repr)
+    decided = fuzzy_lines.line_decisions(table, word_keys=True).collect()
+    assert len(decided) == 6 and sum(r.n_lines for r in decided) == 10
+
+
+def test_similarity_without_common_ends_is_that_of_the_lines(spark):
+    rng = random.Random(6)
+    pairs = [("a b c", "a b c"), ("a b", "a x b"), ("a", "a b"), ("b", "a b"), ("a b a", "a b a b a"), ("x y", "y x"), ("abcd e", "abcd f"), ("a a a a a", "a a a a")]
+    for _ in range(300):
+        line = prose(rng, rng.randrange(1, 12)).split()
+        other = list(line)
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(other))
+            other[k : k + 1] = rng.choice([[], ["new"], [other[k], "more"], [other[k][::-1]]])
+            other = other or ["z"]
+        pairs.append((" ".join(line), " ".join(other)))
+    table = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in table.select(fuzzy_lines.similar_lines(F.col("a"), F.col("b"))).collect()]
+    want = [edit_distance(a, b) * 100 <= (100 - fuzzy_lines.SIMILAR) * max(len(a), len(b)) for a, b in pairs]
+    assert got == want and 20 < sum(want) < 290
+
+
 def _sims(spark, table):
     lines = fuzzy_lines.numbered_lines(table).filter("node IS NOT NULL").select("node", F.split("line", " ").alias("w"))
     hashed = lines.select("node", F.size("w").cast("long").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
