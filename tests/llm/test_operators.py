@@ -267,6 +267,37 @@ def test_statistics_and_compiled_rules(spark, table, docs):
         assert math.isclose(r.logit, 0.25 + sum(w for w, held in zip(weights, h, strict=True) if held), abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_risk_and_its_gradient(prior):
+    """Against numeric gradients of the written-out risk, step by step; with both of its branches."""
+    import numpy as np
+
+    rng = np.random.default_rng(int(prior * 10))
+    x = (rng.random((60, 5)) < 0.4).astype(float)
+    positive = np.arange(60) < 25
+    x[positive, 0] = 1
+    rows, columns = np.nonzero(x)
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+
+    def parts(theta):
+        s = sigmoid(x @ theta[:5] + theta[5])
+        toxic = prior * (1 - s[positive]).mean()
+        clean = s[~positive].mean() - prior * s[positive].mean()
+        return toxic, clean, 0.5e-5 * (theta[:5] ** 2).sum()
+
+    theta, m, v, below = np.append(np.zeros(5), -1.0), np.zeros(6), np.zeros(6), 0
+    for step in range(1, 121):
+        negative = parts(theta)[1] < 0
+        below += negative
+        loss = (lambda t: -parts(t)[1] + parts(t)[2]) if negative else (lambda t: sum(parts(t)))
+        g = np.array([(loss(theta + d) - loss(theta - d)) / 2e-6 for d in np.eye(6) * 1e-6])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta = theta - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    weights, bias = pu_toxicity.fit(rows, columns, positive, 5, prior, epochs=120)
+    assert np.append(weights, bias) == pytest.approx(theta, abs=2e-3)
+    assert (below > 0) == (prior > 0.5)
+
+
 def test_cut_spans(spark):
     """What is left has the words that no span held; long spans go from clean documents, too."""
     rng = random.Random(12)
