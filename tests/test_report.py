@@ -173,3 +173,15 @@ def test_report_as_json(spark, tmp_path):
     assert [e["engine"] for e in found["search_engines"]] == ["google.com", "bing.com", "yahoo.com"]
     assert found["revenue_trend"] == []
     assert len(found["insights"]) == 3 and len(found["recommendations"]) == 1
+
+
+def test_json_amounts_have_no_exponent(spark):
+    """Plain digits from ten millions on; texts that look like amounts stay."""
+    odd = 'x\n  "revenue" : 1.50,\n'
+    rows = [("a.com", odd, 87552462.5), ("b.com", "k", 12345678901.25), ("c.com", "l", -0.1), ("d.com", "m", 30_000_000.0)]
+    text = report.report_json(report.build_report(frame(spark, rows), history(spark, ("2024-01-01", 2e7)))).first()["json"]
+    found = json.loads(text)
+    assert [k["keyword"] for k in found["top_keywords"]] == ["k", odd, "m", "l"]
+    assert [k["revenue"] for k in found["top_keywords"]] == [12345678901.25, 87552462.5, 30000000.0, -0.1]
+    for plain in ('"total_revenue" : 12463231363.65,', '"revenue" : 87552462.5,', '"revenue" : 30000000.0,', '"total_revenue" : 20000000.0,', '"revenue" : -0.1,'):
+        assert plain in text

@@ -422,10 +422,22 @@ def build_report(
     )
 
 
+_CENTS = "decimal(38,2)"
+# A field of the pretty text whose number ends in a spare 0. Line breaks within texts are escaped, so
+# no text looks like that.
+_SPARE_ZERO = r'(?m)^(\s*"\w+" : -?\d+\.\d)0(,?)$'
+
+
 def report_json(report: DataFrame) -> DataFrame:
-    """The report as text, null fields kept."""
+    """The report as text, null fields kept.
+
+    Its amounts, all of two decimals, stand in plain digits whatever their size; as doubles they
+    would have an exponent from ten millions on.
+    """
     options = {"ignoreNullFields": "false", "pretty": "true"}
-    return report.select("report_date", F.to_json(F.struct("*"), options).alias("json"))
+    plain = (F.col(c).cast(kind.replace("double", _CENTS)).alias(c) for c, kind in report.dtypes)
+    text = F.regexp_replace(F.to_json(F.struct(*plain), options), _SPARE_ZERO, "$1$2")
+    return report.select("report_date", text.alias("json"))
 
 
 def write_report_json(report: DataFrame, root: str, run_date: str) -> str:

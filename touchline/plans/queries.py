@@ -651,13 +651,16 @@ def report_row(spark, sf):
     )
 
 
-_JSON_FIELDS = ["report_date", "report_timestamp", "total_revenue", "total_keywords"]
+_JSON_TEXTS = ["report_date", "report_timestamp"]
+_JSON_NUMBERS = ["total_revenue", "total_keywords"]
 
 
 def _json_fields(df: DataFrame) -> DataFrame:
-    """What the JSON text says, read back as text."""
+    """What the JSON text says, read back as text; numbers as they stand there, which Spark's JSON
+    functions would write anew."""
     return df.select(
-        *(F.get_json_object("json", f"$.{c}").alias(c) for c in _JSON_FIELDS),
+        *(F.get_json_object("json", f"$.{c}").alias(c) for c in _JSON_TEXTS),
+        *(F.regexp_extract("json", rf'(?m)^  "{c}" : ([^,\s]+),?$', 1).alias(c) for c in _JSON_NUMBERS),
         F.get_json_object("json", "$.data_partition.minute_bucket").alias("minute_bucket"),
         F.get_json_object("json", "$.top_keywords[0].keyword").alias("top_keyword"),
         F.get_json_object("json", "$.search_engines[0].engine").alias("top_engine"),
