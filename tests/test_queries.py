@@ -1,4 +1,6 @@
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from compare import duckdb_tables, oracle_rows, query_rows
@@ -35,3 +37,14 @@ def test_query_equals_sql(spark, tables, size, name):
     assert rows
     assert names == want_names
     assert rows == want
+
+
+def test_days_land_whole_from_a_table_in_parts(spark, tmp_path):
+    """The stream's files are days, also where several tasks read the events."""
+    events = spark.read.parquet(f"{FOLDERS['small']}/events.parquet")
+    events.orderBy(F.rand(1)).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_ingest", "stream_same_names"):
+        names, rows = query_rows(tuned(QUERIES[name])(spark, str(tmp_path)))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        assert (names, rows) == oracle_rows(con, ORACLES[name])

@@ -205,8 +205,9 @@ def read_history_query(spark, sf):
 
 
 def stream_ingest(spark, sf):
+    """Every day's hits land as one file, however many tasks read the table."""
     path = shared_folder(spark)
-    _landed(raw_hits(spark, sf), f"{path}/landing", "parquet")
+    _one_file_each(raw_hits(spark, sf), f"{path}/landing", "parquet", "hits.parquet", day=_day())
     _ingest(spark, path, identity="masked")
     return _object_results(spark, f"{path}/out")
 
@@ -224,11 +225,16 @@ def _object_results(spark, path):
     return curated.select("dt", "hour", "minute", "engine_domain", "keyword", "revenue")
 
 
-def _one_file_each(df: DataFrame, path: str, fmt: str, name: str) -> None:
-    """The hits of ten days at a time as one file of a given name, in a folder of its own."""
+def _one_file_each(df: DataFrame, path: str, fmt: str, name: str, day=None) -> None:
+    """The hits of ten days at a time as one file of a given name, in a folder of its own; or by the
+    given `day`. A file holds its hits in the order they came in, as hits of one second are told
+    apart by their place."""
     spark = df.sparkSession
     parts = f"{path}-parts"
-    df = df.withColumn("day", F.substring("date_time", 1, 9)).repartition("day")
+    day = F.substring("date_time", 1, 9) if day is None else day
+    # Without nulls, so that the order that the write asks for is the one the rows have.
+    df = df.withColumn("day", F.coalesce(day, F.lit("")))
+    df = df.repartition("day").sortWithinPartitions("day", "event_id")
     writer = df.write.partitionBy("day")
     if fmt == "parquet":
         writer.parquet(parts)
