@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from test_attribution import SAMPLE, hits_frame
 from touchline import session
+from touchline.fixed_values import REQUIRED_HIT_COLUMNS
 from touchline.operators import tables
 from touchline.operators.checks import check_sinks, require_synced
 from touchline.operators.normalize import earliest_partition
@@ -17,6 +18,7 @@ from touchline.session import persisted, remove_shared, settle, settled, shared_
 from touchline.sinks import files
 from touchline.sinks import tables as stored
 from touchline.sources import landing, layers
+from touchline.streaming import incremental
 from touchline.streaming.incremental import object_totals, run_incremental
 
 HEADER = "hit_time_gmt\tdate_time\tuser_agent\tip\tevent_list\tgeo_city\tgeo_region\tgeo_country" \
@@ -237,6 +239,22 @@ def test_stream_equals_one_file_at_a_time(spark, tmp_path):
     }
 
 
+def test_one_large_file_is_spread(spark, tmp_path, monkeypatch):
+    """Rows of a file with one row group, which one task reads, are many tasks' after that."""
+    searched = F.concat(F.lit("http://www.google.com/search?q="), F.sha2(F.col("id").cast("string"), 512))
+    cells = {"hit_time_gmt": F.col("id").cast("string"), "ip": F.lit("10.0.0.1"), "referrer": searched}
+    rows = spark.range(0, 40_000, 1, 1).select(
+        *((cells.get(c, F.lit("")).alias(c)) for c in REQUIRED_HIT_COLUMNS)
+    )
+    rows.write.parquet(str(tmp_path / "landing"))
+    seen = []
+    monkeypatch.setattr(
+        incremental, "write_object_curated", lambda totals, hits, *_: seen.append((len(hits.inputFiles()), hits.count()))
+    )
+    run_incremental(spark, *(str(tmp_path / d) for d in ("landing", "out", "c"))).awaitTermination()
+    assert seen[0][0] > 1 and seen[0][1] == 40_000
+
+
 def test_flat_object_output(spark, tmp_path):
     landed_stream(tmp_path)
     run_incremental(

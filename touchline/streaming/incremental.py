@@ -59,7 +59,10 @@ def run_incremental(
         # Read once: the totals and the objects' earliest times both come from it.
         columns = [SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW, "hit_ts", *TEXT_COLUMNS]
         hits = read_objects(spark, paths)
-        with settled(hits.select(*(c for c in columns if c in hits.columns))) as narrow:
+        narrow = hits.select(*(c for c in columns if c in hits.columns))
+        # A file may come in one piece (a Parquet row group, compressed text) whatever its size. Spread
+        # by their places, its rows make as many tasks below as their volume asks for.
+        with settled(narrow.repartition(SOURCE_ROW)) as narrow:
             write_object_curated(
                 object_totals(narrow, identity), narrow, out, date, partitioned, interval
             )
