@@ -100,3 +100,22 @@ def test_all_rows_of_an_hour_may_go(spark, tmp_path):
     for k in range(2):
         stage(spark, path, k, [(k + 5, 4000)])
     assert numbers(read_staging(spark, path)) == [5, 6] == numbers(read_hits(spark, path))
+
+
+def test_slices_are_named_without_reading_rows(spark, staged, monkeypatch):
+    """Rows are read once, to be merged; what is moved comes from names."""
+    reads = []
+    monkeypatch.setattr(compaction, "_folders", lambda *a, f=compaction._folders: reads.append("names") or f(*a))
+    monkeypatch.setattr(compaction, "settle", lambda df, f=compaction.settle: reads.append([i for i in df.inputFiles() if "/slice=" in i]) or f(df))
+    assert compact_staging(spark, staged, least=2) == 2
+    assert [] in reads and not any(isinstance(r, list) and r for r in reads)
+    assert numbers(read_staging(spark, staged)) == ALL
+
+
+def test_hours_without_a_label_stay_as_they_are(spark, staged):
+    """A second beyond the year 9999 has no day; its rows are not lost."""
+    beyond = 253402300800 - DAY
+    for k in range(2):
+        stage(spark, staged, k, [(k, 0), (10 + k, 3700), (90 + k, beyond)])
+    compact_staging(spark, staged, least=2)
+    assert numbers(read_hits(spark, staged)) == [*ALL, 90, 91]

@@ -309,13 +309,17 @@ def staging_reruns(spark, sf):
 def staging_compacted(spark, sf):
     """Nine slices that share hours, merged, one staged again, and merged once more."""
     path = shared_folder(spark)
-    hits = settle(event_hits(spark, sf))
-    staged = f"{path}/staging"
-    for k in range(9):
-        part = hits.where(col("event_id") % 9 == k)
+    landed, staged = f"{path}/landing", f"{path}/staging"
+    event_hits(spark, sf).withColumn("part", col("event_id") % 9).write.partitionBy("part").parquet(landed)
+
+    def stage(k):
+        part = spark.read.parquet(f"{landed}/part={k}")
         write_staging(part, staged, STAGING_INTERVAL, mask=False, source=f"slice {k}")
+
+    for k in range(9):
+        stage(k)
     compact_staging(spark, staged)
-    write_staging(hits.where(col("event_id") % 9 == 4), staged, STAGING_INTERVAL, mask=False, source="slice 4")
+    stage(4)
     compact_staging(spark, staged, least=2)
     return _core(read_staging(spark, staged))
 

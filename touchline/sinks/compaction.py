@@ -12,7 +12,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import remove_folder, settle
+from touchline.session import remove_folder, remove_folders, settle
 from touchline.sources.folders import matching
 from touchline.sources.layers import (
     MERGED,
@@ -29,6 +29,8 @@ from touchline.sources.layers import (
 LEAST_SLICES = 8
 
 _KEY = [*PARTITION_COLUMNS, "label"]
+#: How Spark names the folder of rows without a value.
+_UNLABELLED = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _folders(spark: SparkSession, path: str) -> list[tuple[str, ...]]:
@@ -46,6 +48,14 @@ def _frame(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFram
     return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
 
 
+def _labels(spark: SparkSession, path: str, known: DataFrame | None) -> DataFrame:
+    """The slices that have rows in an hour (dt, hour, minute, label), by the names of folders and the
+    list `known`; no rows are read. Hours without a label are never merged."""
+    folders = [f for f in _folders(spark, path) if not f[-1].startswith(MERGED) and _UNLABELLED not in f]
+    own = _frame(spark, folders, _KEY)
+    return own if known is None else own.unionByName(known.select(*_KEY)).distinct()
+
+
 def _switch(spark: SparkSession, path: str, hours: DataFrame, without: str | None = None) -> None:
     """Merge all slices of the given hours (dt, hour, minute) into new folders, but for the slice
     `without`, which stays by itself; then remove what no longer counts."""
@@ -53,9 +63,12 @@ def _switch(spark: SparkSession, path: str, hours: DataFrame, without: str | Non
     version = versions[-1] + 1 if versions else 1
     # A name of its own: a compaction that failed may have left files under any number.
     name = f"{MERGED}{version}-{uuid4().hex[:8]}"
+    known = merged_slices(spark, path)
+    # Names before rows: a slice that is staged meanwhile keeps its own folder.
+    labels = _labels(spark, path, known).join(F.broadcast(hours), PARTITION_COLUMNS, "left_semi")
     live = staged_rows(spark, path).join(F.broadcast(hours), PARTITION_COLUMNS, "left_semi")  # names of folders
     if without is not None:
-        live = live.where(F.col("label") != without)
+        labels, live = labels.where(F.col("label") != without), live.where(F.col("label") != without)
     rows = live.drop(SLICE_COLUMN).withColumnRenamed("label", MERGED_COLUMN).withColumn(SLICE_COLUMN, F.lit(name))
     parts = [*PARTITION_COLUMNS, SLICE_COLUMN]
     data = [c for c in rows.columns if c not in parts]
@@ -63,8 +76,7 @@ def _switch(spark: SparkSession, path: str, hours: DataFrame, without: str | Non
         rows.select(*data, *parts).hint("rebalance", *PARTITION_COLUMNS)
         .write.mode("append").partitionBy(*parts).parquet(path)
     )
-    known = merged_slices(spark, path)
-    moved = live.select(*_KEY).distinct().withColumn("folder", F.lit(name))
+    moved = labels.select(*_KEY, F.lit(name).alias("folder"))
     if known is not None:
         moved = moved.unionByName(known.join(F.broadcast(hours), PARTITION_COLUMNS, "left_anti"))
     moved = settle(moved)
@@ -85,8 +97,8 @@ def _remove_given_up(spark: SparkSession, path: str, moved: DataFrame) -> None:
     empty = folders.where(is_merged).join(used, [*PARTITION_COLUMNS, SLICE_COLUMN], "left_anti")
     held = moved.select(*PARTITION_COLUMNS, F.col("label").alias(SLICE_COLUMN))
     doubled = folders.where(~is_merged).join(held, [*PARTITION_COLUMNS, SLICE_COLUMN], "left_semi")
-    for row in empty.unionByName(doubled).toLocalIterator():
-        remove_folder(spark, _folder(path, *row))
+    # No more names than were listed above.
+    remove_folders(spark, [_folder(path, *row) for row in empty.unionByName(doubled).collect()])
 
 
 def compact_staging(spark: SparkSession, path: str, least: int = LEAST_SLICES, dt: str | None = None) -> int:

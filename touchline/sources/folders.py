@@ -11,9 +11,14 @@ def _store(spark: SparkSession, path: str):
 
 
 def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a pattern with wildcards."""
+    """Paths that match a pattern with wildcards; all names come over in one call."""
     store, where = _store(spark, pattern)
-    return [str(s.getPath().toString()) for s in store.globStatus(where) or []]
+    found = store.globStatus(where)
+    if not found:
+        return []
+    jvm = spark.sparkContext._jvm
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
+    return jvm.scala.collection.mutable.ArraySeq.make(paths).mkString("\0").split("\0")
 
 
 def files_below(spark: SparkSession, path: str) -> list[str]:
