@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.llm import conversation_repair, ptolemaic, target_ratio
 from touchline.llm.bytes_text import NONSPACE, find_words, text_slices
@@ -209,3 +210,20 @@ def test_bounds_never_exceed_distances_and_prune():
     which, distance, compared = index.nearest(x, low, high)
     assert (which == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
     assert compared < 0.2 * exact.size
+
+
+def test_all_trusted_texts_count(spark, monkeypatch):
+    """However many there are; the threshold is the exact quantile of their scores."""
+    n = 32_000
+    documents = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"))
+    labels = documents.select("doc_id", F.lit(1).alias("quality"))
+    trusted = sum(brute.zlib.crc32(str(d).encode()) % 3 != 1 for d in range(n))
+    assert trusted > 20_000
+    sums, plain = [], target_ratio.log_ratio
+    monkeypatch.setattr(target_ratio, "log_ratio", lambda target, raw: sums.append((target.sum(), raw.sum())) or plain(target, raw))
+    target_ratio.train(documents, labels)
+    assert max(sums) == (3 * trusted, 3 * n)  # two words and a pair each
+    values = np.random.default_rng(5).normal(size=3001)
+    scores = spark.createDataFrame([(float(v),) for v in values], "score double").repartition(4)
+    for share in (0.0, 0.001, 0.37, 1.0):
+        assert target_ratio._quantile(scores, share) == pytest.approx(np.quantile(values, share), abs=1e-12)

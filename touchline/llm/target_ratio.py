@@ -8,8 +8,8 @@ texts comparable. A text is kept if its score reaches a threshold, the same for
 is drawn at random. The threshold is the score that all but REFUSED of the trusted texts reach when
 each half of them is scored by the other half's multinomial.
 
-The trusted texts are a bounded sample: at most TRUSTED rows that `labels` marks as good, outside
-the held-out fold, in the order of a hash of doc_id. Raw counts and the base counts cover all texts.
+The trusted texts are all that `labels` marks as good, outside the held-out fold. Every count covers
+all its texts, and the threshold all their scores.
 
 Base counts of a text: code points in words, symbols, lines with a word that equal an earlier line,
 and words in windows of WINDOW words that stand twice or more in the text. A text with few words or
@@ -40,8 +40,6 @@ REPEATED = 30
 BUCKETS = 1 << 16
 #: Count added to every bucket of both multinomials.
 SMOOTHING = 1.0
-#: Rows at most that the target is counted from.
-TRUSTED = 20_000
 #: Share of the trusted texts that the threshold may refuse.
 REFUSED = 0.001
 FOLDS, HELD_OUT = 3, 1
@@ -142,33 +140,42 @@ def _counted(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def _scores(texts: DataFrame, ratio: Ratio) -> np.ndarray:
-    """Scores of a bounded number of texts."""
-
+def _scored(texts: DataFrame, ratio: Ratio) -> DataFrame:
     def run(batches):
         for rows, buf, offsets in text_slices(batches):
             score = ratio.scores(*grams(find_words(buf, offsets, NONSPACE)), rows.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(score)], ["score"])
 
-    return texts.select("text").mapInArrow(run, "score double").toPandas()["score"].to_numpy()
+    return texts.select("text").mapInArrow(run, "score double")
+
+
+def _quantile(scores: DataFrame, share: float) -> float:
+    """The score below which a share of all lies, between two neighbours in proportion; exact.
+
+    Only the lowest share of the rows is sorted, and two of them come to the driver.
+    """
+    place = (scores.count() - 1) * share
+    below = int(place)
+    near = [r["score"] for r in scores.orderBy("score").offset(below).limit(2).collect()]
+    return near[0] + (near[-1] - near[0]) * (place - below)
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Ratio | None:
     """The ratio of trusted texts to all; None without trusted texts."""
     good = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.max("quality").alias("good"))
     good = good.filter((F.col("good") == 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    order = F.xxhash64("doc_id", F.lit("trusted"))
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
-    chosen = good.orderBy(order, "doc_id").limit(TRUSTED).select("doc_id", half)
-    trusted = settle(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "half"))  # at most TRUSTED ids
+    # There is no bound on the ids, so they are never broadcast; what is moved grows as the texts do.
+    chosen = good.select("doc_id", half).hint("merge")
+    trusted = settle(documents.select("doc_id", "text").join(chosen, "doc_id").select("text", "half"))
     halves = [trusted.filter(F.col("half") == k) for k in (0, 1)]
     counts = [_counted(h) for h in halves]
     target = counts[0] + counts[1]
     if not target.any():
         return None
     raw = _counted(documents)
-    crossed = np.concatenate([_scores(halves[k], Ratio(log_ratio(counts[1 - k], raw), 0.0)) for k in (0, 1)])
-    return Ratio(log_ratio(target, raw), float(np.quantile(crossed, REFUSED)))
+    crossed = settle(_scored(halves[0], Ratio(log_ratio(counts[1], raw), 0.0)).union(_scored(halves[1], Ratio(log_ratio(counts[0], raw), 0.0))))
+    return Ratio(log_ratio(target, raw), _quantile(crossed, REFUSED))
 
 
 def _judged(rows: int, buf: np.ndarray, offsets: np.ndarray, ratio: Ratio | None):
