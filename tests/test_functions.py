@@ -211,3 +211,12 @@ def test_mask_location(spark):
         ("", "", ""),
     ])
     assert privacy.mask_pii(df, enabled=False) is df
+
+
+def test_revenue_reads_each_number_once(spark):
+    """The test for infinite numbers takes the number that was read, not the text once more."""
+    df = spark.createDataFrame([("a;b;1;1e999;,a;b;1;2_0.5;,a;b;1;x",), (None,), ("",)], "p string")
+    total = df.select(products.product_revenue(F.col("p")).alias("r"))
+    assert [r["r"] for r in total.collect()] == [20.5, None, 0.0]
+    plan = total._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1

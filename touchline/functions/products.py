@@ -33,12 +33,19 @@ def has_products(products: Column) -> Column:
     return strip(products) != ""
 
 
+def _number(line: Column) -> Column:
+    """Fourth field of one product as a double; null where it is missing, blank or no number."""
+    return F.regexp_replace(F.regexp_extract(line, LINE_REVENUE, 1), "_", "").try_cast("double")
+
+
+def _finite(value: Column) -> Column:
+    """0 for null and for what 1e999, which the pattern lets through, is as a double."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(0.0))
+
+
 def line_revenue(line: Column) -> Column:
     """Fourth field of one product; 0 where it is missing, blank or no number."""
-    number = F.regexp_replace(F.regexp_extract(line, LINE_REVENUE, 1), "_", "")
-    value = number.try_cast("double")
-    # The pattern lets 1e999 through, which is infinite as a double.
-    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(0.0))
+    return _finite(_number(line))
 
 
 def product_lines(products: Column) -> Column:
@@ -56,7 +63,6 @@ def product_lines(products: Column) -> Column:
 
 
 def product_revenue(products: Column) -> Column:
-    """Revenue of a hit: the sum over its products."""
-    return F.aggregate(
-        F.split(products, ","), F.lit(0.0), lambda total, line: total + line_revenue(line)
-    )
+    """Revenue of a hit: the sum over its products. Numbers come first, so each is read only once."""
+    numbers = F.transform(F.split(products, ","), _number)
+    return F.aggregate(numbers, F.lit(0.0), lambda total, value: total + _finite(value))
