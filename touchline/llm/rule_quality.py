@@ -61,13 +61,14 @@ def _per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def statistics(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """The statistics of each text."""
+    """The statistics of each text. Lengths of words and shares of ASCII marks go by bytes, the share of
+    other characters by characters."""
     words = find_words(buf, offsets, NONSPACE)
     hashes, n = word_hashes(words), len(offsets) - 1
     n_words = words.counts.astype(float)
     some = np.maximum(n_words, 1)
     n_chars = _per_text((buf & 0xC0) != 0x80, offsets)
-    chars = np.maximum(n_chars, 1)
+    chars, size = np.maximum(n_chars, 1), np.maximum(np.diff(offsets), 1)
     lengths = (words.ends - words.starts).astype(float)
     owner = words.texts()
     lines = find_words(buf, offsets, np.arange(256) != 10)
@@ -99,12 +100,12 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "n_words": n_words,
         "word_length": mean(lengths),
         "longest_word": longest,
-        "upper_share": _per_text((buf >= 65) & (buf <= 90), offsets) / chars,
-        "digit_share": _per_text((buf >= 48) & (buf <= 57), offsets) / chars,
-        "symbol_share": _per_text(symbol, offsets) / chars,
+        "upper_share": _per_text((buf >= 65) & (buf <= 90), offsets) / size,
+        "digit_share": _per_text((buf >= 48) & (buf <= 57), offsets) / size,
+        "symbol_share": _per_text(symbol, offsets) / size,
         "other_share": _per_text(buf >= 0xC0, offsets) / chars,
         "bar_words": mean((heads == ord("|")) & (lengths == 1)),
-        "mark_share": _per_text(buf == ord("!"), offsets) / chars,
+        "mark_share": _per_text(buf == ord("!"), offsets) / size,
         "symbol_words": mean(np.isin(tails, list(b"#$%&*@^~<>|!"))),
         "distinct_words": np.where(n_words > 0, distinct / some, 0),
         "top_word": top / some,
@@ -112,7 +113,7 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "n_lines": n_lines,
         "distinct_lines": np.where(n_lines > 0, distinct_lines / np.maximum(n_lines, 1), 0),
         "line_words": n_words / np.maximum(n_lines, 1),
-        "comma_share": _per_text((buf == ord(",")) | (buf == ord(".")), offsets) / chars,
+        "comma_share": _per_text((buf == ord(",")) | (buf == ord(".")), offsets) / size,
         "stop_share": mean(lengths <= 3),
         "distinct_pairs": np.where(n_words > 0, distinct_pairs / some, 0),
     }
